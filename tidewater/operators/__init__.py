@@ -1,0 +1,66 @@
+from tidewater.operators.aggregates import (
+    Aggregator,
+    aggregate_with,
+    distinct_first,
+    max_field,
+    max_field_running,
+    max_record,
+    max_record_running,
+    ordinal,
+    running_distinct,
+)
+from tidewater.operators.alarms import jump_alarm, no_drop_alarm, timer_fires
+from tidewater.operators.changelog import retract_count
+from tidewater.operators.joins import interval_join, reconcile, unmatched
+from tidewater.operators.late import classify, late_updates, replay_watermark, sliding_counts_with_late
+from tidewater.operators.match import match_sequence, match_times
+from tidewater.operators.ordered import (
+    KeyedSequence,
+    running_count,
+    running_max,
+    running_min,
+    running_sum,
+)
+from tidewater.operators.rows import co_map, rich_map, shuffle_rows, split_rows, union_all, words
+from tidewater.operators.windows import count_sliding, count_tumbling, sessions, sliding, tumbling
+
+__all__ = [
+    "Aggregator",
+    "KeyedSequence",
+    "aggregate_with",
+    "classify",
+    "co_map",
+    "count_sliding",
+    "count_tumbling",
+    "distinct_first",
+    "interval_join",
+    "jump_alarm",
+    "late_updates",
+    "match_sequence",
+    "match_times",
+    "max_field",
+    "max_field_running",
+    "max_record",
+    "max_record_running",
+    "no_drop_alarm",
+    "ordinal",
+    "reconcile",
+    "replay_watermark",
+    "retract_count",
+    "rich_map",
+    "running_count",
+    "running_distinct",
+    "running_max",
+    "running_min",
+    "running_sum",
+    "sessions",
+    "shuffle_rows",
+    "sliding",
+    "sliding_counts_with_late",
+    "split_rows",
+    "timer_fires",
+    "tumbling",
+    "unmatched",
+    "union_all",
+    "words",
+]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +59,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the Python workers, which need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(
+        str(Path(tempfile.mkdtemp(prefix="tidewater-package-")) / package.name), "zip", package.parent, package.name
+    )
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)

@@ -1,0 +1,21 @@
+from tidewater.sinks.upsert import (
+    ClientWriter,
+    DatabaseWriter,
+    EachRow,
+    dedup_latest,
+    keyed_json,
+    send,
+    upsert_statement,
+    upsert_stream,
+)
+
+__all__ = [
+    "ClientWriter",
+    "DatabaseWriter",
+    "EachRow",
+    "dedup_latest",
+    "keyed_json",
+    "send",
+    "upsert_statement",
+    "upsert_stream",
+]
