@@ -1,0 +1,274 @@
+"""Streams give what the batch operators give over the same rows."""
+
+from collections import Counter
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewater import operators as op
+from tidewater.functions import exact_sum
+from tidewater.sources import load_table
+from tidewater.streaming import LateSplitter, apply_stateful, drain
+from tidewater.streaming import processors as p
+from tidewater.streaming import windows as sw
+from tidewater.session import ship_package
+
+from tests.conftest import SF
+
+HOUR = 3_600_000
+FLUSH = -1
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    ship_package(spark)
+    rows = load_table(spark, SF, "events").withColumn("seq", F.col("event_id"))
+    return rows.where("event_id < 600").cache()
+
+
+@pytest.fixture(scope="module")
+def folder(spark, events, tmp_path_factory):
+    """The events as four files in arrival order and a last one with a record far in the future."""
+    path = str(tmp_path_factory.mktemp("events"))
+    for i in range(4):
+        events.where((F.col("event_id") >= i * 150) & (F.col("event_id") < (i + 1) * 150)).coalesce(1).write.mode(
+            "append"
+        ).parquet(path)
+    flush = events.limit(1).withColumns(
+        {"user_id": F.lit(FLUSH).cast("bigint"), "ts": F.lit("2030-01-01").cast("timestamp"), "seq": F.lit(10**9)}
+    )
+    flush.select(events.columns).withColumn("seq", F.col("seq").cast("bigint")).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def stream(spark, folder, events):
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def collect(spark, df, tmp_path, mode="append"):
+    out = str(tmp_path / "out")
+    if mode == "append":
+        drain(df.writeStream.outputMode("append").format("parquet").option("path", out), str(tmp_path / "cp"))
+    else:
+        def write(batch, batch_id):
+            batch.withColumn("batch", F.lit(batch_id)).write.mode("append").parquet(out)
+
+        drain(df.writeStream.outputMode(mode).foreachBatch(write), str(tmp_path / "cp"))
+    return spark.read.parquet(out)
+
+
+def same(left, right, columns):
+    def bag(df):
+        return Counter(tuple(r) for r in df.where(f"user_id <> {FLUSH}").select(*columns).collect())
+
+    assert bag(left) == bag(right)
+    assert left.count() > 0
+
+
+def test_tumbling(spark, folder, events, tmp_path):
+    s = sw.event_time(stream(spark, folder, events), "ts", "3 hours")
+    got = collect(spark, sw.windowed(s, ["user_id"], "ts", "5 hours", total=exact_sum("value")), tmp_path)
+    want = op.tumbling(events, ["user_id"], "ts", "5 hours", total=exact_sum("value"))
+    same(got, want, ["user_id", "win_start_ms", "total"])
+
+
+def test_sliding(spark, folder, events, tmp_path):
+    s = sw.event_time(stream(spark, folder, events), "ts")
+    got = collect(spark, sw.windowed(s, ["user_id"], "ts", "6 hours", "2 hours", n=F.count(F.lit(1))), tmp_path)
+    want = op.sliding(events, ["user_id"], "ts", 6 * HOUR, 2 * HOUR, n=("sum", F.lit(1)))
+    same(got, want, ["user_id", "win_start_ms", "n"])
+
+
+def test_sessions(spark, folder, events, tmp_path):
+    s = sw.event_time(stream(spark, folder, events), "ts")
+    got = collect(spark, sw.sessions(s, ["user_id"], "ts", "6 hours", n=F.count(F.lit(1))), tmp_path)
+    want = op.sessions(events, ["user_id"], "ts", 6 * HOUR, n=F.count(F.lit(1)))
+    same(got, want, ["user_id", "session_start_ms", "session_end_ms", "n"])
+
+
+def test_allowed_lateness_refines(spark, folder, events, tmp_path):
+    s = sw.event_time(stream(spark, folder, events), "ts", "1 hours", lateness="30 minutes")
+    got = collect(spark, sw.windowed(s, ["user_id"], "ts", "5 hours", n=F.count(F.lit(1))), tmp_path, "update")
+    last = got.groupBy("user_id", "win_start_ms").agg(F.max_by("n", "batch").alias("n"))
+    want = op.tumbling(events, ["user_id"], "ts", "5 hours", n=F.count(F.lit(1)))
+    same(last, want, ["user_id", "win_start_ms", "n"])
+    assert got.count() > last.count()
+
+
+def test_jump_alarm(spark, folder, events, tmp_path):
+    s = apply_stateful(stream(spark, folder, events), ["user_id"], p.JumpAlarm("value", 10.0))
+    got = collect(spark, s, tmp_path)
+    assert got.where("route = 'main' and user_id <> -1").count() == 600
+    side = got.where("route = 'side'")
+    want = op.jump_alarm(events, ["user_id"], ["event_id"], "value", 10.0)
+    same(side, want, ["user_id", "seq", "value", "previous"])
+
+
+def test_running_top(spark, folder, events, tmp_path):
+    got = collect(spark, apply_stateful(stream(spark, folder, events), ["user_id"], p.RunningTop(3, "value")), tmp_path)
+    want = (
+        op.KeyedSequence(events, ["user_id"], ["seq"])
+        .running_top(3, "value", "seq", "best")
+        .rows()
+        .select("user_id", "seq", F.posexplode("best").alias("i", "e"))
+        .selectExpr("user_id", "seq", "cast(i + 1 as bigint) rank", "-e.neg_seq top_seq", "e.value top_value")
+    )
+    same(got, want, ["user_id", "seq", "rank", "top_seq", "top_value"])
+
+
+def test_dedup(spark, folder, events, tmp_path):
+    doubled = stream(spark, folder, events)
+    got = collect(spark, apply_stateful(doubled, ["user_id"], p.DedupFirst("value")), tmp_path)
+    want = op.distinct_first(events.select("user_id", "value", "seq"), ["user_id", "value"], ["seq"])
+    same(got, want, ["user_id", "value", "seq"])
+
+
+def test_count_windows(spark, folder, events, tmp_path):
+    s = stream(spark, folder, events)
+    got = collect(spark, apply_stateful(s, ["user_id"], p.CountWindow("value", 5)), tmp_path / "a")
+    want = op.count_tumbling(events, ["user_id"], "seq", 5, total=F.sum("value"), seq=F.max("seq"))
+    rounded = F.round("total", 6).alias("total")
+    same(got.select("user_id", "seq", rounded), want.select("user_id", "seq", rounded), ["user_id", "seq", "total"])
+    got = collect(spark, apply_stateful(s, ["user_id"], p.CountWindow("value", 5, 2)), tmp_path / "b")
+    want = op.count_sliding(events, ["user_id"], "seq", 5, 2, total=F.sum("value"))
+    same(got.select("user_id", "seq", rounded), want.select("user_id", "seq", rounded), ["user_id", "seq", "total"])
+
+
+def test_retract(spark, folder, events, tmp_path):
+    got = collect(spark, apply_stateful(stream(spark, folder, events), ["user_id"], p.RetractCount()), tmp_path)
+    same(got, op.retract_count(events, ["user_id"], ["seq"]), ["is_add", "user_id", "seq", "cnt"])
+
+
+def test_running_totals(spark, folder, events, tmp_path):
+    got = collect(spark, apply_stateful(stream(spark, folder, events), ["user_id"], p.RunningTotals("value")), tmp_path)
+    want = (
+        op.KeyedSequence(events, ["user_id"], ["seq"])
+        .running(n=op.running_count(), total=op.running_sum("value"))
+        .rows()
+    )
+    rounded = F.round("total", 6).alias("total")
+    same(got.select("user_id", "seq", "n", rounded), want.select("user_id", "seq", "n", rounded), ["user_id", "seq", "n", "total"])
+
+
+def test_no_drop_alarm(spark, folder, events, tmp_path):
+    s = sw.event_time(stream(spark, folder, events), "ts")
+    got = collect(
+        spark, apply_stateful(s, ["user_id"], p.NoDropAlarm("value", 12 * HOUR), time="eventTime"), tmp_path
+    ).where("route = 'side'")
+    millis = events.withColumn("ts", F.date_trunc("millisecond", "ts"))
+    want = op.no_drop_alarm(millis, ["user_id"], "ts", "seq", "value", 12 * HOUR)
+    same(got, want.selectExpr("user_id", "alarm_us div 1000 as at_ms"), ["user_id", "at_ms"])
+
+
+def test_event_timers(spark, folder, events, tmp_path):
+    s = sw.event_time(stream(spark, folder, events), "ts")
+    timer = p.RowTimer(HOUR, event_time="ts")
+    got = collect(spark, apply_stateful(s, ["user_id"], timer, time="eventTime"), tmp_path).where("route = 'side'")
+    want = op.timer_fires(events, ["user_id"], "ts", HOUR)
+    same(got.withColumnRenamed("at_ms", "fire_ms"), want, ["user_id", "fire_ms"])
+
+
+def test_processing_timers(spark, folder, events, tmp_path):
+    s = apply_stateful(stream(spark, folder, events), ["user_id"], p.RowTimer(0), time="processingTime")
+    got = collect(spark, s, tmp_path)
+    assert got.where("route = 'main'").count() == 601
+    assert got.where("route = 'side'").count() > 0
+
+
+@pytest.mark.parametrize("consecutive", [True, False])
+def test_match(spark, folder, events, tmp_path, consecutive):
+    flagged = stream(spark, folder, events).withColumn("fail", F.col("event_type") == "error")
+    s = sw.event_time(flagged, "ts")
+    processor = p.MatchTimes("fail", 2, 24 * HOUR, consecutive)
+    got = collect(spark, apply_stateful(s, ["user_id"], processor, time="eventTime"), tmp_path)
+    want = op.match_times(
+        events, ["user_id"], ["ts", "seq"], "ts", F.col("event_type") == "error", 2, 24 * HOUR, consecutive
+    ).select("user_id", F.unix_millis("first_ts").alias("first_ms"), F.unix_millis("last_ts").alias("last_ms"))
+    same(got, want, ["user_id", "first_ms", "last_ms"])
+
+
+def test_interval_join(spark, folder, events, tmp_path):
+    def sides(df):
+        click = df.where("event_type = 'click' or user_id = -1").selectExpr("user_id", "ts as l_ts", "event_id as l_id")
+        buy = df.where("event_type = 'purchase' or user_id = -1").selectExpr("user_id", "ts as r_ts", "event_id as r_id")
+        return click, buy
+
+    left, right = sides(stream(spark, folder, events))
+    joined = sw.interval_join(
+        left.withWatermark("l_ts", "1 hour"), right.withWatermark("r_ts", "1 hour"),
+        "user_id", "l_ts", "r_ts", "-6 hours", "6 hours",
+    )
+    got = collect(spark, joined, tmp_path)
+    want = op.interval_join(*sides(events), "user_id", "l_ts", "r_ts", -6 * HOUR, 6 * HOUR)
+    same(got, want, ["user_id", "l_id", "r_id"])
+
+
+def test_reconcile_processor(spark, folder, events, tmp_path):
+    s = stream(spark, folder, events).where("user_id <> -1")
+    left = s.where("event_id % 2 = 0").selectExpr("event_id div 2 as pair", "event_id")
+    right = s.where("event_id % 2 = 1 and event_id % 10 <> 1").selectExpr("event_id div 2 as pair", "event_id")
+    got = collect(spark, apply_stateful(p.tagged(left, right, "pair", "event_id"), ["pair"], p.Reconcile()), tmp_path)
+    assert got.count() == 240
+    assert got.where("left_body = concat('{\"pair\":', pair, ',\"event_id\":', 2 * pair, '}')").count() == 240
+
+
+def test_distinct_count(spark, folder, events, tmp_path):
+    s = sw.distinct_count(stream(spark, folder, events).where("user_id <> -1"), ["user_id"])
+    got = collect(spark, s, tmp_path, "update")
+    assert got.agg(F.max("uv")).first()[0] == events.select("user_id").distinct().count()
+
+
+def test_late_splitter_equals_replay(spark, events, tmp_path):
+    """Any cut into micro-batches gives the classes of the row-by-row replay; a repeated batch changes nothing."""
+    arrival = (F.col("event_id") + (F.col("event_id") * 7919) % 50).alias("arrival")
+    rows = events.select("event_id", "user_id", F.unix_millis("ts").alias("ts_ms"), arrival).cache()
+    folder = str(tmp_path / "in")
+    for low, high in ((0, 200), (200, 210), (210, 700)):
+        rows.where(f"arrival >= {low} and arrival < {high}").coalesce(1).write.mode("append").parquet(folder)
+    outputs = {"main": str(tmp_path / "main"), "aside": str(tmp_path / "aside")}
+
+    def sink(name):
+        return lambda df, batch_id: df.write.mode("overwrite").parquet(f"{outputs[name]}/batch={batch_id}")
+
+    order = ["arrival", "event_id"]
+    splitter = LateSplitter(
+        "ts_ms", order, HOUR, HOUR, HOUR, HOUR // 2, sink("main"), sink("aside"), str(tmp_path / "memory")
+    )
+    s = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    drain(splitter.attach(s), str(tmp_path / "cp"))
+    splitter(rows.where("arrival >= 200 and arrival < 210"), 1)
+    got = spark.read.parquet(outputs["main"]).unionByName(spark.read.parquet(outputs["aside"]))
+    want = op.classify(rows, "ts_ms", order, HOUR, HOUR, HOUR, HOUR // 2)
+    same(got, want, ["event_id", "user_id", "wm_before", "lateness"])
+    assert {r[0] for r in want.select("lateness").distinct().collect()} == {"on_time", "late_accepted", "side_output"}
+
+
+def test_restart_continues(spark, tmp_path):
+    """Word counts go on from the saved totals after stop and restart."""
+    folder, cp = tmp_path / "lines", str(tmp_path / "cp")
+    folder.mkdir()
+    seen = {}
+
+    def run():
+        lines = spark.readStream.format("text").load(str(folder))
+        counts = op.words(lines).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+
+        def keep(batch, batch_id):
+            seen.update({r.word: r.n for r in batch.collect()})
+
+        drain(counts.writeStream.outputMode("update").foreachBatch(keep), cp)
+
+    Path(folder / "a.txt").write_text("a b a\n")
+    run()
+    assert seen == {"a": 2, "b": 1}
+    seen.clear()
+    Path(folder / "b.txt").write_text("a c\n")
+    run()
+    assert seen == {"a": 3, "c": 1}
+
+
+def test_append_mode_rejects_updating_plans(spark, folder, events, tmp_path):
+    counts = stream(spark, folder, events).groupBy("user_id").count()
+    with pytest.raises(Exception, match="(?i)append"):
+        collect(spark, counts, tmp_path)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.functions.layout import layout
 from tidewater.operators.ordered import KeyedSequence, running_count, running_max, running_min
 
 
@@ -97,7 +98,7 @@ def aggregate_with(df: DataFrame, keys: list[str], aggregator: Aggregator, held:
     merging task once per input task and not once per row; the merge streams over sorted partials.
     """
     df = df.select(*keys, *[c for c in aggregator.columns if c not in keys])
-    fields = [f for f in T.StructType.fromDDL(aggregator.schema)]
+    fields = [f for f in layout(aggregator.schema)]
     schema = T.StructType([*[df.schema[k] for k in keys], *fields])
     names = [f.name for f in fields]
 

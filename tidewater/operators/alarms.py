@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.functions.layout import layout
 from tidewater.operators.ordered import CHUNK, KeyedSequence, running_max
 from tidewater.operators.windows import floor_to
 
@@ -57,7 +58,7 @@ def no_drop_alarm(df: DataFrame, keys: list[str], ts: str, seq: str, value: str,
     else:
         blocks = _cut(sequence, wait)
     key_fields = [data.schema[k] for k in keys]
-    schema = T.StructType([*key_fields, *T.StructType.fromDDL(
+    schema = T.StructType([*key_fields, *layout(
         "_b_us bigint, _b_seq bigint, _entry int, _exit int, alarm_us bigint"
     )])
     group = [*keys, "_b_us", "_b_seq"]

@@ -7,22 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.functions import split_words
-
-
-def _record(fields: str) -> T.StructType:
-    types = {"string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType()}
-    pairs = [field.split() for field in fields.split(",")]
-    return T.StructType([T.StructField(name, types[kind]) for name, kind in pairs])
+from tidewater.functions.layout import layout
 
 
 # Record layouts; fixed values.
-SENSOR = _record("id string, ts bigint, vc double")
-LOGIN = _record("id string, ip string, state string, ts bigint")
-AD_CLICK = _record("userId bigint, adId bigint, province string, city string, timestamp bigint")
-MARKETING = _record("userId bigint, behavior string, channel string, timestamp bigint")
-ORDER = _record("orderId bigint, eventType string, txId string, eventTime bigint")
-RECEIPT = _record("txId string, payChannel string, eventTime bigint")
-USER_BEHAVIOR = _record("userId bigint, itemId bigint, categoryId int, behavior string, timestamp bigint")
+SENSOR = layout("id string, ts bigint, vc double")
+LOGIN = layout("id string, ip string, state string, ts bigint")
+AD_CLICK = layout("userId bigint, adId bigint, province string, city string, timestamp bigint")
+MARKETING = layout("userId bigint, behavior string, channel string, timestamp bigint")
+ORDER = layout("orderId bigint, eventType string, txId string, eventTime bigint")
+RECEIPT = layout("txId string, payChannel string, eventTime bigint")
+USER_BEHAVIOR = layout("userId bigint, itemId bigint, categoryId int, behavior string, timestamp bigint")
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False, files_per_batch: int | None = None) -> DataFrame:

@@ -1,0 +1,5 @@
+from tidewater.streaming.late import LateSplitter
+from tidewater.streaming.processors import apply_stateful
+from tidewater.streaming.running import drain, start_durable
+
+__all__ = ["LateSplitter", "apply_stateful", "drain", "start_durable"]
