@@ -16,7 +16,7 @@ def spark():
     session = build_session(
         "local[4]",
         "tests",
-        spark__sql__shuffle__partitions="4",
+        spark__sql__shuffle__partitions="2",
         spark__ui__enabled="false",
         spark__driver__memory="6g",
         spark__sql__warehouse__dir="/tmp/tidewater-warehouse",

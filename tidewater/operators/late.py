@@ -76,6 +76,8 @@ def sliding_counts_with_late(
     A late row still counts in those of its windows that are open. Rows are reduced to ``(key, slide slot, oldest open
     window)`` before they are copied into windows; rows on time share one such entry per slot.
     """
+    if slide_ms > size_ms:
+        raise ValueError("windows must touch: slide_ms may not exceed size_ms")
     seen = classify(df, ts_ms, order, size_ms, slide_ms, delay_ms, lateness_ms)
     aside = seen.where(F.col("lateness") == ASIDE).select(*df.columns)
     oldest = oldest_start(F.col(ts_ms), size_ms, slide_ms)

@@ -50,8 +50,9 @@ def sliding(
 
 
 def window_starts(at_ms: Column, size_ms: int, slide_ms: int) -> Column:
-    """Starts of all sliding windows that contain the instant, oldest first."""
-    return F.sequence(oldest_start(at_ms, size_ms, slide_ms), floor_to(at_ms, slide_ms), F.lit(slide_ms).cast("bigint"))
+    """Starts of all sliding windows that contain the instant, oldest first; NULL if none does (slide above size)."""
+    oldest, newest = oldest_start(at_ms, size_ms, slide_ms), floor_to(at_ms, slide_ms)
+    return F.when(oldest <= newest, F.sequence(oldest, newest, F.lit(slide_ms).cast("bigint")))
 
 
 def oldest_start(at_ms: Column, size_ms: int, slide_ms: int) -> Column:
