@@ -276,22 +276,23 @@ def test_sliding_late_counts_against_replay(spark):
 class Spread(op.Aggregator):
     schema = "low double, high double, n bigint"
     columns = ["v"]
+    result_schema = "spread double, n bigint"
 
-    def create(self):
-        return {"low": float("inf"), "high": float("-inf"), "n": 0}
+    def partial(self, groups):
+        return groups.agg(low=("v", "min"), high=("v", "max"), n=("v", "size"))
 
-    def add(self, acc, rows):
-        return {"low": min(acc["low"], rows.v.min()), "high": max(acc["high"], rows.v.max()), "n": acc["n"] + len(rows)}
+    def merge(self, groups):
+        return groups.agg(low=("low", "min"), high=("high", "max"), n=("n", "sum"))
 
-    def merge(self, a, b):
-        return {"low": min(a["low"], b["low"]), "high": max(a["high"], b["high"]), "n": a["n"] + b["n"]}
+    def result(self, accumulators):
+        return accumulators.assign(spread=accumulators.high - accumulators.low)
 
 
 @pytest.mark.parametrize("held", [1, 50_000])
 def test_python_aggregate(spark, held):
     _, df = readings(spark)
     got = op.aggregate_with(df, ["k", "at"], Spread(), held)
-    want = df.groupBy("k", "at").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("n"))
+    want = df.groupBy("k", "at").agg((F.max("v") - F.min("v")).alias("spread"), F.count(F.lit(1)).alias("n"))
     assert bag(got) == bag(want)
 
 

@@ -6,6 +6,7 @@ from abc import ABC, abstractmethod
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+from pandas.core.groupby import DataFrameGroupBy
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,68 +75,69 @@ def ordinal(df: DataFrame, order: list[str], out: str = "n") -> DataFrame:
 
 
 class Aggregator(ABC):
-    """An aggregate in Python for what column expressions cannot say; prefer ``F.sum`` and friends.
+    """An aggregate in pandas for what column expressions cannot say; prefer ``F.sum`` and friends.
 
-    Accumulators are plain dicts laid out as ``schema``, so partial results can travel between tasks.
+    ``schema`` is the layout of an accumulator and ``columns`` are the inputs. All three steps work on whole blocks of
+    groups at once. Accumulators must merge, in any grouping of the rows.
     """
 
     schema: str
     columns: list[str]
+    result_schema: str | None = None
 
     @abstractmethod
-    def create(self) -> dict: ...
+    def partial(self, groups: DataFrameGroupBy) -> pd.DataFrame:
+        """Accumulators of some of the rows of each group."""
 
     @abstractmethod
-    def add(self, acc: dict, rows: pd.DataFrame) -> dict:
-        """Take in a block of rows of one key (the block is a slice of an Arrow batch, not the whole group)."""
+    def merge(self, groups: DataFrameGroupBy) -> pd.DataFrame:
+        """One accumulator per group from several."""
+
+    def result(self, accumulators: pd.DataFrame) -> pd.DataFrame:
+        """Final columns (``result_schema``) next to the key columns."""
+        return accumulators
 
-    @abstractmethod
-    def merge(self, a: dict, b: dict) -> dict: ...
 
+def aggregate_with(df: DataFrame, keys: list[str], aggregator: Aggregator, held: int = 100_000) -> DataFrame:
+    """Aggregate per key with an ``Aggregator``.
 
-def aggregate_with(df: DataFrame, keys: list[str], aggregator: Aggregator, held: int = 50_000) -> DataFrame:
-    """Accumulators per key. Each input task first builds its own partial accumulators, so a key arrives at the
-    merging task once per input task and not once per row; the merge streams over sorted partials.
+    Each input task first builds its own accumulators (at most about ``held`` at a time), so a key arrives at the
+    merging task about once per input task and not once per row; the merge streams over accumulators sorted by key.
     """
     df = df.select(*keys, *[c for c in aggregator.columns if c not in keys])
-    fields = [f for f in layout(aggregator.schema)]
-    schema = T.StructType([*[df.schema[k] for k in keys], *fields])
-    names = [f.name for f in fields]
+    key_fields = [df.schema[k] for k in keys]
+    partial_schema = T.StructType([*key_fields, *layout(aggregator.schema)])
+    final_schema = T.StructType([*key_fields, *layout(aggregator.result_schema or aggregator.schema)])
 
-    def frame(entries: Iterable[tuple[tuple, dict]]) -> pd.DataFrame:
-        return pd.DataFrame([(*key, *[acc[n] for n in names]) for key, acc in entries], columns=[*keys, *names])
+    def grouped(rows: pd.DataFrame) -> DataFrameGroupBy:
+        return rows.groupby(keys, dropna=False, sort=False)
 
-    def groups(batch: pd.DataFrame, sort: bool) -> Iterator[tuple[tuple, pd.DataFrame]]:
-        for key, rows in batch.groupby(keys, dropna=False, sort=sort):
-            yield tuple(None if pd.isna(k) else k for k in key), rows
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        return aggregator.merge(grouped(rows)).reset_index()[partial_schema.names]
 
     def partials(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        accs: dict[tuple, dict] = {}
+        blocks, rows = [], 0
         for batch in batches:
-            for key, rows in groups(batch, False):
-                accs[key] = aggregator.add(accs.get(key) or aggregator.create(), rows)
-            if len(accs) >= held:
-                yield frame(accs.items())
-                accs = {}
-        if accs:
-            yield frame(accs.items())
+            blocks.append(aggregator.partial(grouped(batch)).reset_index()[partial_schema.names])
+            rows += len(blocks[-1])
+            if rows >= held:
+                blocks = [merge(pd.concat(blocks))]
+                rows = len(blocks[0])
+                if rows >= held // 2:
+                    yield blocks.pop()
+                    rows = 0
+        if blocks:
+            yield merge(pd.concat(blocks))
 
     def merged(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, acc = None, None
+        last = None
         for batch in batches:
-            done = []
-            for key, rows in groups(batch, False):
-                for values in rows[names].to_dict("records"):
-                    if acc is not None and key == current:
-                        acc = aggregator.merge(acc, values)
-                        continue
-                    if acc is not None:
-                        done.append((current, acc))
-                    current, acc = key, values
-            if done:
-                yield frame(done)
-        if acc is not None:
-            yield frame([(current, acc)])
-
-    parts = df.mapInPandas(partials, schema)
-    return parts.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(merged, schema)
+            done = merge(batch if last is None else pd.concat([last, batch]))
+            last = done.iloc[-1:]
+            if len(done) > 1:
+                yield aggregator.result(done.iloc[:-1])[final_schema.names]
+        if last is not None:
+            yield aggregator.result(last)[final_schema.names]
+
+    parts = df.mapInPandas(partials, partial_schema)
+    return parts.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(merged, final_schema)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from tidewater import operators as op
@@ -90,23 +89,11 @@ def max_by_running(t):
     return done.select("user_id", "event_id", "best_value", "best_event_id", "best_event_type")
 
 
-class _PairwiseSum(op.Aggregator):
-    schema = "n bigint"
-    columns = ["one"]
-
-    def create(self):
-        return {"n": 0}
-
-    def add(self, acc, rows: pd.DataFrame):
-        return {"n": acc["n"] + int(rows["one"].sum())}
-
-    def merge(self, a, b):
-        return {"n": a["n"] + b["n"]}
-
-
 @query(f"with {_WORDS} select word, count(*) as n from words group by word")
 def keyed_reduce(t):
-    return op.aggregate_with(_tokens(t).select("word", F.lit(1).cast("bigint").alias("one")), ["word"], _PairwiseSum())
+    # Adding pairs of counts is a sum.
+    pairs = _tokens(t).select("word", F.lit(1).cast("bigint").alias("n"))
+    return pairs.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 _PAIRS = "(select event_id, event_type, cast(json_extract(props, '$.k') as bigint) as k from events)"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from tidewater import operators as op
@@ -161,14 +160,11 @@ class _WindowCount(op.Aggregator):
     schema = "n bigint, low double"
     columns = ["value"]
 
-    def create(self):
-        return {"n": 0, "low": float("inf")}
+    def partial(self, groups):
+        return groups.agg(n=("value", "size"), low=("value", "min"))
 
-    def add(self, acc, rows: pd.DataFrame):
-        return {"n": acc["n"] + len(rows), "low": min(acc["low"], float(rows["value"].min()))}
-
-    def merge(self, a, b):
-        return {"n": a["n"] + b["n"], "low": min(a["low"], b["low"])}
+    def merge(self, groups):
+        return groups.agg(n=("n", "sum"), low=("low", "min"))
 
 
 @query(_tumbling_sql(6 * HOUR, extra=", count(*) as n, min(value) as low"))
