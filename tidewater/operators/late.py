@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.ordered import KeyedSequence, running_count, running_max, running_sum
 from tidewater.operators.windows import floor_to, oldest_start
+from tidewater.session import checkpointed
 
 ON_TIME, LATE, ASIDE = "on_time", "late_accepted", "side_output"
 
@@ -64,6 +65,8 @@ def late_updates(
     first = placed.where(F.col("lateness") == ON_TIME).groupBy(*group).agg(F.sum("_value").alias("_value"))
     # The first firing precedes every late row: its order columns are NULL, which sorts first.
     firings = placed.where(F.col("lateness") == LATE).drop("lateness").unionByName(first, allowMissingColumns=True)
+    # Few rows remain, at the end of a long plan that the steps below would otherwise repeat.
+    firings = checkpointed(firings)
     done = KeyedSequence(firings, group, order).running(fire_no=running_count(), value=running_sum("_value")).rows()
     return done.select(*group, "fire_no", "value")
 
