@@ -53,6 +53,17 @@ def test_hot_keys(spark, settings):
     assert [r.k for r in hot_keys(df, ["k"]).collect()] == ["a"]
 
 
+def test_hot_keys_from_a_share_of_the_rows(spark, settings):
+    df = spark.range(200_000).selectExpr("if(id % 3 = 0, -1L, id) as k", "id as seq")
+    settings(hotRows=20_000)
+    (hot,) = hot_keys(df, ["k"]).collect()
+    assert hot.k == -1 and 55_000 < hot["_rows"] < 80_000
+    numbered = KeyedSequence(df, ["k"], ["seq"])
+    assert numbered.split
+    got = numbered.running(n=running_count()).rows().groupBy("k").agg(F.max("n").alias("n")).where("n > 1").collect()
+    assert [tuple(r) for r in got] == [(-1, 66_667)]
+
+
 def test_running(spark, mode):
     name, order, python_order = mode
     rows, df = sample(spark)

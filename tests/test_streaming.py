@@ -281,3 +281,61 @@ def test_append_mode_rejects_updating_plans(spark, folder, events, tmp_path):
     counts = stream(spark, folder, events).groupBy("user_id").count()
     with pytest.raises(Exception, match="(?i)append"):
         collect(spark, counts, tmp_path)
+
+
+class StateTour(p.Emitting):
+    """Uses every kind of keyed state: value, list, map, reducing, aggregating."""
+
+    output = "seq bigint, biggest double, average double, kept bigint, kinds bigint, cleared boolean"
+
+    def init(self, handle):
+        self.last = handle.getValueState("last", p.layout("seq bigint"))
+        self.items = handle.getListState("items", p.layout("value double"))
+        self.kinds = handle.getMapState("kinds", p.layout("kind string"), p.layout("n bigint"))
+        self.biggest = p.Reducing(handle, "biggest", "value double", lambda a, b: (max(a[0], b[0]),))
+        self.average = p.Aggregating(
+            handle,
+            "average",
+            "n bigint, total double",
+            create=lambda: (0, 0.0),
+            add=lambda acc, value: (acc[0] + 1, acc[1] + value),
+            result=lambda acc: acc[1] / acc[0],
+        )
+
+    def handleInputRows(self, key, rows, timerValues):
+        for r in sorted(rows, key=lambda r: r.seq):
+            cleared = self.last.exists() and self.last.get()[0] % 5 == 0
+            if cleared:
+                self.items.clear()
+                self.biggest.clear()
+                self.average.clear()
+                for kind in list(self.kinds.keys()):
+                    self.kinds.removeKey(kind)
+            self.last.update((r.seq,))
+            self.items.appendValue((r.value,))
+            self.biggest.add((r.value,))
+            self.average.add(r.value)
+            known = self.kinds.getValue((r.event_type,))[0] if self.kinds.containsKey((r.event_type,)) else 0
+            self.kinds.updateValue((r.event_type,), (known + 1,))
+            kinds = sum(1 for _ in self.kinds.keys())
+            assert sum(n for _, (n,) in self.kinds.iterator()) == sum(1 for _ in self.items.get())
+            yield self.emit(
+                key, r.seq, self.biggest.get()[0], self.average.get(), sum(1 for _ in self.items.get()), kinds, cleared
+            )
+
+
+def test_state_kinds(spark, folder, events, tmp_path):
+    few = stream(spark, folder, events).where("user_id < 3 and user_id >= 0")
+    got = collect(spark, apply_stateful(few, ["user_id"], StateTour()), tmp_path)
+    state = {}
+    rows = events.where("user_id < 3").orderBy("seq").collect()
+    want = {}
+    for r in rows:
+        last, items = state.get(r.user_id, (None, []))
+        cleared = last is not None and last % 5 == 0
+        items = [*([] if cleared else items), (r.value, r.event_type)]
+        state[r.user_id] = (r.seq, items)
+        values = [v for v, _ in items]
+        want[r.seq] = (max(values), round(sum(values) / len(values), 6), len(items), len({k for _, k in items}), cleared)
+    assert {r.seq: (r.biggest, round(r.average, 6), r.kept, r.kinds, r.cleared) for r in got.collect()} == want
+    assert any(w[4] for w in want.values())
