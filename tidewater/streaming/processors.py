@@ -301,7 +301,8 @@ class MatchTimes(Emitting):
     """``flag`` true on ``times`` consecutive rows of a key within less than ``within_ms``, in event-time order.
 
     Rows wait in a list state until the watermark has passed them, so late arrivals still find their place; only the
-    last ``times - 1`` rows are carried further.
+    last ``times - 1`` rows are carried further. A key has one timer at a time, at the newest row that waited when it
+    was set; when it fires, everything up to the watermark is worked off together.
     """
 
     output = "first_ms bigint, last_ms bigint"
@@ -314,22 +315,31 @@ class MatchTimes(Emitting):
         row = layout("at_ms bigint, seq bigint, flag boolean")
         self.waiting = handle.getListState("waiting", row)
         self.recent = handle.getListState("recent", row)
+        self.due = handle.getValueState("due", layout("at_ms bigint"))
 
     def handleInputRows(self, key, rows, timerValues):
         fresh = [(to_millis(r.ts), r.seq, bool(r[self.flag])) for r in rows]
         self.waiting.appendList(fresh)
-        for at in {f[0] for f in fresh}:
-            self.handle.registerTimer(at)
+        if not self.due.exists():
+            self._set_timer(fresh)
         return iter([])
 
+    def _set_timer(self, rows):
+        newest = max(r[0] for r in rows)
+        self.handle.registerTimer(newest)
+        self.due.update((newest,))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        passed = expiredTimerInfo.getExpiryTimeInMs()
+        passed = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         rows = [tuple(r) for r in self.waiting.get()]
         ready = sorted(r for r in rows if r[0] <= passed)
-        if not ready:
-            return
         left = [r for r in rows if r[0] > passed]
-        self.waiting.put(left) if left else self.waiting.clear()
+        if left:
+            self.waiting.put(left)
+            self._set_timer(left)
+        else:
+            self.waiting.clear()
+            self.due.clear()
         window = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
         for row in ready:
             if not (self.consecutive or row[2]):
