@@ -185,6 +185,20 @@ def test_window_edges(spark):
     assert {r["count"] for r in native.collect()} == {3, 1}
 
 
+def test_sessions_with_a_crowded_instant(spark, settings):
+    """One key with most rows at one instant: the copies count, but only once in the ordering."""
+    rows = [("a", 7)] * 50 + [("a", t) for t in (1, 3, 12, 40, 41)] + [("b", 7), (None, 7), (None, 8)]
+    df = spark.createDataFrame(rows, "k string, at bigint").withColumn("ts", F.timestamp_seconds("at"))
+    want = {("a", 1, 4, 2), ("a", 7, 8, 50), ("a", 12, 13, 1), ("a", 40, 42, 2), ("b", 7, 8, 1), (None, 7, 9, 2)}
+    for hot in (1000, 20, 1):
+        settings(hotRows=hot, chunkBits=3)
+        got = op.sessions(df, ["k"], "ts", 2000, n=F.count(F.lit(1)))
+        flat = {(r.k, r.session_start_ms // 1000, (r.session_end_ms - 1000) // 1000, r.n) for r in got.collect()}
+        assert flat == want
+    one = op.sessions(df.drop("k"), [], "ts", 2000, n=F.count(F.lit(1)))
+    assert sum(r.n for r in one.collect()) == 58
+
+
 @pytest.mark.parametrize("size,slide", [(6, 2), (5, 2), (5, 5), (3, 7)])
 def test_sliding_against_spark_window(spark, size, slide):
     _, df = readings(spark)

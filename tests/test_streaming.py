@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewater import operators as op
 from tidewater.functions import exact_sum
 from tidewater.sources import load_table
-from tidewater.streaming import LateSplitter, apply_stateful, drain
+from tidewater.streaming import LateSplitter, apply_stateful, drain, start_durable
 from tidewater.streaming import processors as p
 from tidewater.streaming import windows as sw
 from tidewater.session import ship_package
@@ -277,6 +277,17 @@ def test_restart_continues(spark, tmp_path):
     assert seen == {"a": 3, "c": 1}
 
 
+def test_durable_start_and_restart(spark, folder, events, tmp_path):
+    """Started, stopped and started again, the stream delivers every row once."""
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    for _ in range(2):
+        s = stream(spark, folder, events).select("event_id", "user_id")
+        query = start_durable(s.writeStream.format("parquet").option("path", out), cp, "100 milliseconds")
+        query.processAllAvailable()
+        query.stop()
+    assert spark.read.parquet(out).count() == 601
+
+
 def test_append_mode_rejects_updating_plans(spark, folder, events, tmp_path):
     counts = stream(spark, folder, events).groupBy("user_id").count()
     with pytest.raises(Exception, match="(?i)append"):

@@ -97,17 +97,17 @@ class KeyedSequence:
     The first order column decides how hot keys are cut. If it is an integer (an arrival number, close to unique
     within a key) a chunk is a fixed range of it, planned without touching the data. Otherwise (time stamps, which may
     repeat without bound) the hot rows are range-partitioned on key and full order and written to the checkpoint
-    folder, so that the chunk numbers stay fixed.
+    folder, so that the chunk numbers stay fixed. ``known_cold`` skips the search for hot keys.
     """
 
-    def __init__(self, df: DataFrame, keys: list[str], order: list[str]):
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str], known_cold: bool = False):
         self.keys = list(keys)
         self.order = list(order)
         spark = df.sparkSession
         self._bits = setting(spark, "chunkBits", 20 if keys else 16)
         self.split = False
         self.df = df
-        hot = hot_keys(df, self.keys) if keys else None
+        hot = hot_keys(df, self.keys) if keys and not known_cold else None
         if keys and hot is None:
             return
         self.split = True

@@ -7,7 +7,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.ordered import KeyedSequence, running_count, running_max
+from tidewater.operators.ordered import KeyedSequence, hot_keys, running_count, running_max
 
 _MERGE = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -67,9 +67,15 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap_ms: int, **aggregates:
     the sequence takes care of hot keys. The aggregation itself is an ordinary one.
     """
     data = df.where(F.col(ts).isNotNull()).withColumn("_us", F.unix_micros(ts))
-    sequence = KeyedSequence(data, keys, [ts]).with_window(1, lambda w: {"_prev": F.lag("_us", 1).over(w)})
-    starts = F.when(F.col("_prev").isNull() | (F.col("_us") - F.col("_prev") > gap_ms * 1000), F.col("_us"))
-    marked = sequence.running(_start=running_max(starts)).rows()
+    if keys and hot_keys(data, keys) is None:
+        marked = _mark_sessions(data, keys, gap_ms, known_cold=True)
+    else:
+        # Any number of rows may share an instant, so order the distinct instants and bring the result back.
+        instants = data.select(*keys, "_us").distinct()
+        names = {k: f"_key_{i}" for i, k in enumerate(keys)}
+        starts = _mark_sessions(instants, keys, gap_ms).withColumnsRenamed({**names, "_us": "_at"})
+        same = [F.col("_us") == F.col("_at"), *[F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]]
+        marked = data.join(starts, same, "inner")
     done = marked.groupBy(*keys, "_start").agg(
         F.max("_us").alias("_last"), *[c.alias(n) for n, c in aggregates.items()]
     )
@@ -81,6 +87,18 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap_ms: int, **aggregates:
     )
 
 
+def _mark_sessions(data: DataFrame, keys: list[str], gap_ms: int, known_cold: bool = False) -> DataFrame:
+    """Add ``_start``, the first instant of the row's session."""
+    starts = F.when(F.col("_prev").isNull() | (F.col("_us") - F.col("_prev") > gap_ms * 1000), F.col("_us"))
+    return (
+        KeyedSequence(data, keys, ["_us"], known_cold)
+        .with_window(1, lambda w: {"_prev": F.lag("_us", 1).over(w)})
+        .running(_start=running_max(starts))
+        .rows()
+        .drop("_prev")
+    )
+
+
 def count_tumbling(df: DataFrame, keys: list[str], seq: str, size: int, **aggregates: Column) -> DataFrame:
     """Aggregates over each full block of ``size`` rows of a key; an unfinished block gives nothing."""
     numbered = KeyedSequence(df, keys, [seq]).running(_n=running_count()).rows()
