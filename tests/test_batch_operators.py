@@ -101,6 +101,15 @@ def test_no_drop_alarm(spark, settings, seed, dense):
         assert Counter((r.k, r.alarm_us // 1_000_000) for r in got.collect()) == want
 
 
+def test_no_drop_alarm_with_a_crowded_instant(spark, settings):
+    rnd = random.Random(9)
+    rows = [("a", i, 50 if i % 3 else rnd.randrange(200), float(rnd.randrange(9))) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, seq bigint, at bigint, v double").withColumn("ts", F.timestamp_seconds("at"))
+    settings(hotRows=20, chunkRows=15)
+    got = op.no_drop_alarm(df, ["k"], "ts", "seq", "v", 5000)
+    assert Counter((r.k, r.alarm_us // 1_000_000) for r in got.collect()) == walk(rows, 5)
+
+
 def test_no_drop_alarm_edges(spark):
     rows = [("rise", 0, 0, -3.0), ("rise", 1, 5, -3.0), ("zero", 2, 0, 0.0), ("zero", 3, 4, -1.0), ("zero", 4, 9, -1.0)]
     df = spark.createDataFrame(rows, "k string, seq bigint, at bigint, v double").withColumn("ts", F.timestamp_seconds("at"))

@@ -81,23 +81,38 @@ def no_drop_alarm(df: DataFrame, keys: list[str], ts: str, seq: str, value: str,
 def _cut(sequence: KeyedSequence, wait: int) -> DataFrame:
     """Rows with their block; the first row of a block also closes the previous one (``_tail``)."""
     keys = sequence.keys
-    # Time slices that overlap by ``wait``: a row near the end of a slice is repeated in the next one.
+    # Any number of rows may share an instant; only its first row can be a cut, and only its minimum matters to others.
+    instants = (
+        sequence.df.where(F.col(CHUNK).isNotNull())
+        .groupBy(*keys, "_us")
+        .agg(
+            F.min("_v").alias("_low"),
+            F.min("_seq").alias("_seq"),
+            F.min_by("_v", "_seq").alias("_first"),
+            F.min_by(CHUNK, "_seq").alias(CHUNK),
+        )
+    )
+    # Time slices that overlap by ``wait``: an instant near the end of a slice is repeated in the next one.
     slice_us = 16 * wait
     own = floor_to(F.col("_us"), slice_us)
     spans = F.array_distinct(F.array(own, floor_to(F.col("_us") + wait, slice_us)))
-    sliced = sequence.df.withColumn("_slice", F.explode(spans))
-    by_time = Window.partitionBy(*keys, "_slice").orderBy("_us")
-    in_turn = Window.partitionBy(*keys, "_slice").orderBy("_us", "_seq")
-    lowest = F.min("_v").over(by_time.rangeBetween(-(wait - 1), -1))
-    alone = F.coalesce(F.lag("_us").over(in_turn) != F.col("_us"), F.lit(True))
-    marked = sliced.withColumns({"_lowest": lowest, "_alone": alone}).where(F.col("_slice") == own)
-    anchor = F.col("_alone") & (F.col("_lowest").isNull() | (F.col("_v") < F.col("_lowest")))
-    marked = marked.withColumn("_anchor", anchor & F.col(CHUNK).isNotNull()).drop("_slice", "_lowest", "_alone")
-    in_chunk = Window.partitionBy(*keys, CHUNK).orderBy("_us", "_seq").rowsBetween(Window.unboundedPreceding, 0)
-    cut = F.col("_anchor") & (F.sum(F.col("_anchor").cast("int")).over(in_chunk) == 1)
+    recent = Window.partitionBy(*keys, "_slice").orderBy("_us").rangeBetween(-(wait - 1), -1)
+    undercut = F.col("_lowest").isNull() | (F.col("_first") < F.col("_lowest"))
+    anchors = (
+        instants.withColumn("_slice", F.explode(spans))
+        .withColumn("_lowest", F.min("_low").over(recent))
+        .where((F.col("_slice") == own) & undercut)
+    )
+    # One cut per chunk, at its first anchor.
+    names = {k: f"_cut_{i}" for i, k in enumerate(keys)}
+    cuts = anchors.groupBy(*keys, CHUNK).agg(F.min(F.struct("_us", "_seq")).alias("_at"))
+    cuts = cuts.withColumnsRenamed({**names, CHUNK: "_cut_chunk"})
+    same = [F.col(CHUNK) == F.col("_cut_chunk"), *[F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]]
+    is_cut = (F.col("_us") == F.col("_at._us")) & (F.col("_seq") == F.col("_at._seq"))
+    marked = sequence.df.join(cuts, same, "left").withColumn("_cut", F.coalesce(is_cut, F.lit(False)))
     place = F.when(F.col("_cut"), F.struct("_us", "_seq"))
     numbered = (
-        sequence._with(marked.withColumn("_cut", cut))
+        sequence._with(marked.drop("_at", "_cut_chunk", *names.values()))
         .running(_block=running_max(place), _earlier=running_max(place, inclusive=False))
         .rows()
     )
