@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontamination, near_dedup
+from tidewater.llm import decontamination, near_dedup, repeats
 from tidewater.session import ship_package
 from tidewater.sources import load_table
 
@@ -43,3 +43,8 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(load_table(spark, folder, "documents"))
+
+
+@register
+def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(load_table(spark, folder, "documents")).drop("spans")
