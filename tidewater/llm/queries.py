@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontamination, near_dedup, repeats
+from tidewater.llm import decontamination, language, near_dedup, packing, repeats
 from tidewater.session import ship_package
 from tidewater.sources import load_table
 
@@ -48,3 +48,16 @@ def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op5_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(load_table(spark, folder, "documents")).drop("spans")
+
+
+@register
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(load_table(spark, folder, "documents"))
+
+
+@register
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load_table(spark, folder, "documents")
+    model = language.train(docs)
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
