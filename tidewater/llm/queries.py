@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontamination, language, near_dedup, packing, repeats
+from tidewater.llm import decontamination, language, lines, near_dedup, packing, pages, repeats
 from tidewater.session import ship_package
 from tidewater.sources import load_table
 
@@ -61,3 +61,36 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     model = language.train(docs)
     found = language.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+@register
+def op1_html(spark: SparkSession, folder: str) -> DataFrame:
+    table = load_table(spark, folder, "pages").select("page_id", "url", "html")
+    return pages.extract(table)
+
+
+@register
+def op8_lines(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load_table(spark, folder, "documents").select("doc_id", "source", "text")
+    cleaned = lines.remove_boilerplate(docs)
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("kept_md5"), F.length("text").cast("long").alias("n_chars"))
+
+
+ORACLES["op8_lines"] = f"""
+with parts as (
+    select doc_id, source, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as pos
+    from documents where text is not null
+), spread as (
+    select trim(line) as line from parts where trim(line) <> '' group by trim(line)
+    having count(distinct source) >= {lines.SITES}
+), judged as (
+    select p.doc_id, p.line, p.pos, s.line is not null as bad from parts p left join spread s on trim(p.line) = s.line
+), rebuilt as (
+    select doc_id, count(*) as n_lines, count(*) filter (bad) as n_removed,
+        coalesce(string_agg(line, chr(10) order by pos) filter (not bad), '') as text
+    from judged group by doc_id
+)
+select d.doc_id, coalesce(r.n_lines, 0) as n_lines, coalesce(r.n_removed, 0) as n_removed,
+    md5(r.text) as kept_md5, length(r.text) as n_chars
+from documents d left join rebuilt r on d.doc_id = r.doc_id
+"""
