@@ -128,11 +128,11 @@ class Rolling:
 class Words:
     """The words of several texts: maximal runs of bytes that ``wordly`` marks, none across texts.
 
-    ``first[i]`` to ``first[i + 1]`` are the words of text ``i``; ``starts`` and ``ends`` are byte places.
+    A-Z are lower-cased unless told otherwise. ``first[i]`` to ``first[i + 1]`` are the words of text ``i``; ``starts`` and ``ends`` are byte places.
     """
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray, wordly: np.ndarray):
-        self.data = _LOWER[data]
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, wordly: np.ndarray, lower: bool = True):
+        self.data = _LOWER[data] if lower else data
         inside = wordly[self.data]
         cut = bounds[1:-1]
         cut = cut[cut < len(data)]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontamination, language, lines, near_dedup, packing, pages, repeats
+from tidewater.llm import decontamination, language, licenses, lines, near_dedup, neighbours, packing, pages, repeats, token_counts
 from tidewater.session import ship_package
 from tidewater.sources import load_table
 
@@ -94,3 +94,20 @@ select d.doc_id, coalesce(r.n_lines, 0) as n_lines, coalesce(r.n_removed, 0) as
     md5(r.text) as kept_md5, length(r.text) as n_chars
 from documents d left join rebuilt r on d.doc_id = r.doc_id
 """
+
+
+@register
+def op3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(load_table(spark, folder, "embeddings"))
+
+
+@register
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load_table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs).select("doc_id", "n_words", "n_tokens", "n_unknown")
+
+
+@register
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load_table(spark, folder, "documents").select("doc_id", "text")
+    return licenses.scan(docs).select("doc_id", "n_blocks", "n_exact", "licenses")
