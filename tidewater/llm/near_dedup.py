@@ -27,10 +27,12 @@ RATE = 20.0
 LOG_BASE = float(np.log(1.001))
 BASE = 1.001
 TOP = 65534
-#: A pair is dropped unseen if its registers are e**12 times likelier at some similarity below the bound.
-EVIDENCE = 12.0
-#: Members of one tile of a bucket, and members compared with one copy of a bucket's leader.
-TILE = 128
+#: A pair is dropped unseen if its registers are e**8 times likelier at some similarity below the bound.
+EVIDENCE = 8.0
+#: Members of a block of a bucket (a tile is two blocks), and members compared with one copy of a bucket's leader.
+TILE = 512
+PART = 128
+_COLUMNS = 4096
 
 _STEPS = -np.log1p(-np.arange(REGISTERS) / REGISTERS) / RATE
 _WIDTHS = -np.expm1(-RATE * np.diff(np.append(_STEPS, np.inf)))
@@ -199,8 +201,8 @@ def _verify(width: int, percent: int):
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets are similar enough. A leader's partners are spread over parts of about ``TILE``."""
-    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"))
+    """Pairs whose full shingle sets are similar enough. A leader's partners are spread over parts of about ``PART``."""
+    counts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PART).cast("int").alias("parts"))
     members = (
         pairs.join(counts, "a")
         .withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
@@ -215,22 +217,61 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return dealt.mapInArrow(_verify(width, percent), PAIR)
 
 
-def _tile_pairs(threshold: float):
+def _promising(threshold: float):
+    """Members of a tile that may be similar to a member of another component, by their sketches."""
+
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("key").reset_index(drop=True)
         rows = np.frombuffer(b"".join(frame["registers"]), np.uint16).reshape(-1, REGISTERS)
-        sizes, root, pivot = frame["n_shingles"].to_numpy(), frame["root"], frame["pivot"].to_numpy()
-        code = pd.factorize(root)[0]
-        left, right = [], []
-        for i in range(len(frame) - 1):
+        sizes, leader, code = frame["n_shingles"].to_numpy(), frame["leader"].to_numpy(), pd.factorize(frame["root"])[0]
+        flagged = np.zeros(len(frame), bool)
+        for i in np.flatnonzero(~leader):
             j = np.arange(i + 1, len(frame))
-            j = j[(code[j] != code[i]) & ~pivot[i] & ~pivot[j]]
+            j = j[(code[j] != code[i]) & ~leader[j] & ~(flagged[j] & flagged[i])]
+            j = j[(rows[j] == rows[i]).sum(axis=1) >= threshold * REGISTERS - 5 * np.sqrt(REGISTERS * threshold * (1 - threshold))]
             if len(j):
-                ok = plausible(np.broadcast_to(rows[i], (len(j), REGISTERS)), rows[j], np.full(len(j), sizes[i]), sizes[j], threshold)
-                left += [frame["key"][i]] * int(ok.sum())
-                right += frame["key"][j[ok]].tolist()
-        low = [min(x) for x in zip(left, right)]
-        return pd.DataFrame({"a": low, "b": [max(x) for x in zip(left, right)]})
+                own = np.broadcast_to(rows[i], (len(j), REGISTERS))
+                good = j[plausible(own, rows[j], np.full(len(j), sizes[i]), sizes[j], threshold)]
+                flagged[good] = True
+                flagged[i] |= len(good) > 0
+        return frame.loc[flagged, ["band", "i", "j", "key", "root"]]
+
+    return run
+
+
+def _linked(width: int, percent: int):
+    """Links that join the components within a tile, from the full sets; one link for each two components joined."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.drop_duplicates("key").reset_index(drop=True)
+        n = len(frame)
+        found, texts = [], []
+        for start, first, hashes in _sets(pa.array(frame["text"], pa.string()), width):
+            found.append(hashes)
+            texts.append(owners(first) + start)
+        text = np.concatenate(texts)
+        _, column, times = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+        sizes = np.bincount(text, minlength=n)
+        shared = times[column] > 1
+        text, column = text[shared], np.unique(column[shared], return_inverse=True)[1]
+        order = np.argsort(column, kind="stable")
+        text, column = text[order], column[order]
+        both = np.zeros((n, n), np.float32)
+        for low in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+            part = slice(*np.searchsorted(column, (low, low + _COLUMNS)))
+            incidence = np.zeros((n, _COLUMNS), np.float32)
+            incidence[text[part], column[part] - low] = 1
+            both += incidence @ incidence.T
+        code = pd.factorize(frame["root"])[0]
+        left, right = [], []
+        for i in range(n):
+            near = 100 * both[i] >= percent * (sizes[i] + sizes - both[i])
+            for j in np.flatnonzero(near & (code != code[i])):
+                if code[j] != code[i]:
+                    left.append(frame["key"][i])
+                    right.append(frame["key"][j])
+                    code[code == code[j]] = code[i]
+        return pd.DataFrame({"a": left, "b": right})
 
     return run
 
@@ -246,9 +287,11 @@ def near_duplicates(
     component. Rows with equal sets form one class from the start and are compared once. A null id is never a
     component's id unless all ids of the component are null; an empty table gives an empty table.
 
-    Pairs come from buckets of equal bands. First every member meets two leaders of its bucket; most members of large
-    groups are connected by that. Buckets that still hold several components are then searched in tiles of bounded
-    size for the remaining pairs of different components, so no link between different texts is lost to the leaders' choice.
+    Pairs come from buckets of equal bands. First every member meets the leader of its bucket, which connects most members of
+    large groups. Buckets that still hold several components are cut into tiles of bounded size: sketches tell which members may
+    have a partner in another component, and the full sets of those are compared inside the tile. Only links that
+    join components leave it, so neither pairs of a group nor links within a component are ever written, and no
+    component depends on the choice of the leaders.
     """
     threshold = percent / 100
     source = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.unhex(F.md5(text)).alias("text_key"))
@@ -271,14 +314,9 @@ def near_duplicates(
         "classes",
     )
     bands = classes.select("key", "registers").mapInArrow(_band_keys, "band long, key binary")
-    order = F.xxhash64("key")
-    leaders = (
-        bands.groupBy("band")
-        .agg(F.count("*").alias("n"), F.min(F.struct(order.alias("o"), "key"))["key"].alias("low"), F.max(F.struct(order.alias("o"), "key"))["key"].alias("high"))
-        .where("n > 1")
-    )
+    leaders = bands.groupBy("band").agg(F.count("*").alias("n"), F.min_by("key", F.struct(F.xxhash64("key"), "key")).alias("leader")).where("n > 1")
     buckets = durable(bands.join(leaders, "band"), "buckets")
-    pairs = buckets.select(F.explode(F.array_distinct(F.array("low", "high"))).alias("a"), F.col("key").alias("b")).where("a != b").distinct()
+    pairs = buckets.select(F.col("leader").alias("a"), F.col("key").alias("b")).where("a != b").distinct()
     likely = durable(_likely(pairs, classes, threshold), "pairs")
     wanted = buckets.select("key").distinct().join(classes.select("key", "text_key"), "key")
     texts = durable(
@@ -289,18 +327,30 @@ def near_duplicates(
 
     located = buckets.where("n > 2").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     mixed = located.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("band")
-    open_rows = (
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tiles = (
         located.join(mixed, "band")
         .withColumn("blocks", F.ceil(F.col("n") / TILE).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "key", "root", F.expr("key = low or key = high").alias("pivot"))
-        .join(classes.select("key", "registers", "n_shingles"), "key")
+        .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "key", "root", F.expr("key = leader").alias("leader"))
+    )
+    flagged = durable(
+        tiles.join(classes.select("key", "registers", "n_shingles"), "key")
+        .repartition(parts, "band", "i", "j")
+        .groupBy("band", "i", "j")
+        .applyInPandas(_promising(threshold), "band long, i int, j int, key binary, root binary"),
+        "tiles",
+    )
+    more = durable(
+        flagged.join(texts, "key")
+        .repartition(parts, "band", "i", "j")
+        .groupBy("band", "i", "j")
+        .applyInPandas(_linked(width, percent), PAIR),
+        "links",
     )
-    more = durable(open_rows.groupBy("band", "i", "j").applyInPandas(_tile_pairs(threshold), PAIR).distinct(), "more-pairs")
     if more.take(1):
-        links = links.union(durable(_confirmed(more, texts, width, percent), "links"))
-        roots = durable(components(links), "roots")
+        roots = durable(components(links.union(more)), "roots")
 
     rows = described.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     heads = rows.where("key is not null").groupBy("root").agg(F.min("doc_id").alias("head"))
