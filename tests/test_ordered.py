@@ -146,3 +146,45 @@ def test_empty(spark, split_everything):
     empty = df.limit(0)
     for keys, order in ((["k"], ["seq"]), ([], ["seq"]), ([], ["ts", "seq"])):
         assert KeyedSequence(empty, keys, order).running(n=running_count()).rows().count() == 0
+
+
+def test_every_hot_key_is_split(spark, settings):
+    """No limit on the number of hot keys."""
+    settings(hotRows=2)
+    df = spark.range(60_000).selectExpr("id % 12000 as k", "id as seq")
+    sequence = KeyedSequence(df, ["k"], ["seq"])
+    assert sequence.df.where(f"{CHUNK} is null").count() == 0
+    assert hot_keys(df, ["k"]).count() == 12_000
+
+
+@pytest.mark.parametrize("order", ["hashed", "sparse"])
+def test_levels_keep_window_partitions_short(spark, settings, order):
+    """Digests of ids that are spread over all 62 bits, and of instants far apart, are handed on in levels."""
+    settings(chunkBits=21)
+    value = "shiftright(xxhash64(id), 2)" if order == "hashed" else "id * 200000"
+    df = spark.range(3000).selectExpr(f"{value} as seq", "cast(id % 97 as double) as v")
+    sequence = KeyedSequence(df, [], ["seq"])
+    assert sequence._levels >= 2 and (2**sequence._bits) ** (sequence._levels + 1) >= 2**63
+    done = sequence.running(total=running_sum("v"), n=running_count()).with_window(
+        3, lambda w: {"third": F.lag("v", 3).over(w), "some": F.sum("v").over(w.rowsBetween(-2, 0))}
+    )
+    got = sorted(map(tuple, done.rows().select("seq", "v", "total", "n", "third", "some").collect()))
+    total, values = 0.0, [r[1] for r in got]
+    for k, (_, v, t, n, third, some) in enumerate(got):
+        total += v
+        assert (t, n, third, some) == (total, k + 1, values[k - 3] if k > 2 else None, sum(values[max(0, k - 2) : k + 1]))
+
+
+def test_rows_and_best_are_handed_on_through_levels(spark, settings):
+    settings(chunkBits=2)
+    rnd = random.Random(5)
+    seqs = rnd.sample(range(400), 150)
+    df = spark.createDataFrame([(s, float(rnd.randrange(50))) for s in seqs], "seq bigint, v double")
+    rows = sorted(map(tuple, df.collect()))
+    done = KeyedSequence(df, [], ["seq"]).with_window(9, lambda w: {"ninth": F.lag("v", 9).over(w)}).rows()
+    got = {r.seq: r.ninth for r in done.collect()}
+    assert got == {s: rows[k - 9][1] if k > 8 else None for k, (s, _) in enumerate(rows)}
+    best = KeyedSequence(df, [], ["seq"]).running_top(3, "v", "seq", "top").rows()
+    for r in best.collect():
+        want = sorted(((v, -s) for s, v in rows if s <= r.seq), reverse=True)[:3]
+        assert [(e.value, e.neg_seq) for e in r.top] == want

@@ -20,7 +20,7 @@ from tidewater.sources import SensorFolder, kafka, load_table, read_records, sql
 from tidewater.sources.records import SENSOR
 from tidewater.streaming import drain
 
-from tests.conftest import SAMPLES, SF
+from tests.conftest import SF
 
 
 def sensors(spark, rows):
@@ -161,14 +161,14 @@ def test_client_writer(spark, tmp_path):
     assert (tmp_path / "b").exists() and (tmp_path / "closed").exists()
 
 
-def test_row_sink(spark, tmp_path):
+def test_row_sink(spark, samples, tmp_path):
     ship_package(spark)
     out = tmp_path / "out"
     out.mkdir()
     folder = str(out)
-    s = read_records(spark, str(SAMPLES) + "/sensor.tx*", SENSOR, stream=True)
+    s = read_records(spark, f"{samples}/sensor.tx*", SENSOR, stream=True)
     drain(s.writeStream.foreach(EachRow(lambda: FolderClient(folder), put_row)), str(tmp_path / "cp"))
-    assert (out / "ws_002").read_text() == "43.1"
+    assert (out / "r3").read_text() == "40.0"
     assert (out / "closed").exists()
 
 

@@ -10,8 +10,12 @@ into *chunks* that follow the order, every chunk is its own window partition, an
 * running top ``n``: the best ``n`` rows of all earlier chunks.
 
 Seeds sort before the chunk's own rows, take part in the window frame, and are dropped afterwards. So results are
-the same as with the plain plan, there is no join back, NULL keys need no special care, and no task sees more than a
-chunk.
+the same as with the plain plan, there is no join back, and NULL keys need no special care.
+
+Seeds are themselves found chunk by chunk: chunks of integers are ranges of ``2**bits`` values, these form ranges of
+``2**bits`` chunks, and so on. With the 21 bits of the default, two levels above the rows cover all 63-bit integers, dense or
+hashed, so that no window partition holds more than ``2**21`` distinct order values, chunks or groups of chunks
+(times the few rows that a seed hands on). Orders that are not integers are cut by measured ranges of about ``chunkRows`` rows.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,10 +33,10 @@ from tidewater.session import checkpointed, setting
 CHUNK = "_chunk"
 LIVE = "_live"
 
-# A key that is not among this many most frequent keys holds less than 1/10000 of the rows, which is less than the
-# fair share of a task on any cluster this is meant for. It also bounds what is broadcast.
-HOT_KEYS_LISTED = 10_000
-HOT_KEYS_BYTES = 64 * 1024 * 1024
+# Rows of a key that the search for hot keys should meet.
+SEEN = 1_000
+# Levels above the rows; ``63 / 21 - 1``.
+LEVELS = 2
 
 _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 
@@ -63,32 +67,31 @@ def running_min(value: Column | str, inclusive: bool = True) -> Running:
     return Running("min", F.col(value) if isinstance(value, str) else value, inclusive)
 
 
-def hot_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
-    """Keys with at least ``spark.tidewater.hotRows`` rows, with their (estimated) row count; None if there is none.
+def hot_share(spark: SparkSession) -> float:
+    """The share of the rows that the search for hot keys looks at."""
+    return min(1.0, SEEN / setting(spark, "hotRows", 1_000_000))
+
+
+def hot_keys(df: DataFrame, keys: list[str], looked_at: DataFrame | None = None) -> DataFrame | None:
+    """Keys with at least ``spark.tidewater.hotRows`` rows, with their estimated row count; None if there is none.
 
-    This only decides how rows are laid out over tasks. It therefore counts a share of the rows in which a hot key
-    still shows up about a thousand times: a key that is missed, or listed without need, costs time but changes no
-    result. Counts are combined before their shuffle; at most ``HOT_KEYS_LISTED`` keys of limited total size reach the
-    driver.
+    This only decides how rows are laid out over tasks. It therefore counts a share of the rows (``looked_at``, or a sample)
+    in which a hot key still shows up about a thousand times: a key that is missed, or listed without need, costs time
+    but changes no result. All keys found are written to the checkpoint folder; the driver learns only whether there is one.
     """
-    least = setting(df.sparkSession, "hotRows", 1_000_000)
-    share = min(1.0, 1_000 / least)
-    looked_at = df.select(*keys) if share == 1.0 else df.select(*keys).sample(share, seed=7)
-    listed = (
+    spark = df.sparkSession
+    share = hot_share(spark)
+    if looked_at is None:
+        looked_at = df.select(*keys) if share == 1.0 else df.select(*keys).sample(share, seed=7)
+    least = setting(spark, "hotRows", 1_000_000)
+    found = (
         looked_at.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") >= (least if share == 1.0 else int(0.8 * least * share)))
-        .orderBy(F.desc("_rows"))
-        .limit(HOT_KEYS_LISTED)
         .withColumn("_rows", (F.col("_rows") / F.lit(share)).cast("bigint"))
     )
-    rows, size = [], 0
-    for row in listed.collect():
-        size += sum(len(str(row[k])) for k in keys)
-        if size > HOT_KEYS_BYTES:
-            break
-        rows.append(row)
-    return df.sparkSession.createDataFrame(rows, listed.schema) if rows else None
+    found = checkpointed(found)
+    return found if found.take(1) else None
 
 
 class KeyedSequence:
@@ -97,25 +100,29 @@ class KeyedSequence:
     The first order column decides how hot keys are cut. If it is an integer (an arrival number, close to unique
     within a key) a chunk is a fixed range of it, planned without touching the data. Otherwise (time stamps, which may
     repeat without bound) the hot rows are range-partitioned on key and full order and written to the checkpoint
-    folder, so that the chunk numbers stay fixed. ``known_cold`` skips the search for hot keys.
+    folder, so that the chunk numbers stay fixed. ``known_cold`` skips the search for hot keys; ``looked_at`` is a share
+    ``hot_share`` of the rows, for callers that can draw it more cheaply.
     """
 
-    def __init__(self, df: DataFrame, keys: list[str], order: list[str], known_cold: bool = False):
+    def __init__(
+        self, df: DataFrame, keys: list[str], order: list[str], known_cold: bool = False, looked_at: DataFrame | None = None
+    ):
         self.keys = list(keys)
         self.order = list(order)
         spark = df.sparkSession
-        self._bits = setting(spark, "chunkBits", 20 if keys else 16)
+        self._bits = setting(spark, "chunkBits", 21)
+        self._levels = LEVELS
         self.split = False
         self.df = df
-        hot = hot_keys(df, self.keys) if keys and not known_cold else None
+        hot = hot_keys(df, self.keys, looked_at) if keys and not known_cold else None
         if keys and hot is None:
             return
         self.split = True
         if keys:
             names = {k: f"_hot_{i}" for i, k in enumerate(self.keys)}
-            hot = hot.withColumnsRenamed(names)
+            renamed = hot.withColumnsRenamed(names)
             same = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
-            df = df.join(F.broadcast(hot), same, "left").drop(*names.values())
+            df = df.join(renamed, same, "left").drop(*names.values())
         else:
             df = df.withColumn("_rows", F.lit(1))
         is_hot = F.col("_rows").isNotNull()
@@ -125,6 +132,7 @@ class KeyedSequence:
             return
         rows = hot.agg(F.sum("_rows")).first()[0] if keys else df.count()
         parts = max(1, math.ceil(rows / setting(spark, "chunkRows", 1_000_000)))
+        self._levels = 1  # as many chunks as partitions
         heavy = (
             df.where(is_hot)
             .drop("_rows")
@@ -159,7 +167,7 @@ class KeyedSequence:
         inputs = {f"_in_{name}": fold for name, fold in folds.items()}
         data = self.df.select("*", *[fold.value.alias(column) for column, fold in inputs.items()])
         outputs = {column: column.removeprefix("_in_") for column in inputs}
-        done = _fold(data, self.keys, self.order, inputs, outputs, CHUNK if self.split else None, self._bits, 2)
+        done = _fold(data, self.keys, self.order, inputs, outputs, CHUNK if self.split else None, self._bits, self._levels)
         return self._with(done.drop(*inputs))
 
     def with_window(self, back: int, build: Callable[[WindowSpec], dict[str, Column]]) -> KeyedSequence:
@@ -167,18 +175,40 @@ class KeyedSequence:
         window = Window.partitionBy(*self.group).orderBy(*self.order)
         if not self.split:
             return self._with(self.df.withColumns(build(window)))
-        latest_first = Window.partitionBy(*self.group).orderBy(*[F.desc(c) for c in self.order])
-        tails = (
-            self.df.where(F.col(CHUNK).isNotNull())
-            .withColumn("_nth", F.row_number().over(latest_first))
-            .where(F.col("_nth") <= back)
-            .drop("_nth")
-        )
-        through_chunks = Window.partitionBy(*self.keys).orderBy(CHUNK, *self.order)
-        recent = F.collect_list(F.struct(*self.df.columns)).over(through_chunks.rowsBetween(-(back - 1), 0))
-        seeded = self._seed(self._hand_on(tails.withColumn("_digest", recent)))
+        seeded = self._seed(self._rows_before(self._last(self.df.where(F.col(CHUNK).isNotNull()), back, CHUNK), back, CHUNK, self._levels))
         return self._with(seeded.withColumns(build(window)).where(LIVE).drop(LIVE))
 
+    def _last(self, df: DataFrame, back: int, chunk: str) -> DataFrame:
+        """The last ``back`` rows of every chunk."""
+        latest_first = Window.partitionBy(*self.keys, chunk).orderBy(*[F.desc(c) for c in self.order])
+        return df.withColumn("_nth", F.row_number().over(latest_first)).where(F.col("_nth") <= back).drop("_nth")
+
+    def _rows_before(self, tails: DataFrame, back: int, chunk: str, levels: int) -> DataFrame:
+        """For every chunk but a key's first, the ``back`` rows before it, with ``CHUNK`` naming the chunk they precede."""
+        tails, group, seeds = self._grouped(tails, chunk, levels, lambda t, up: self._rows_before(self._last(t, back, up), back, up, levels - 1))
+        data = tails if seeds is None else tails.unionByName(seeds, allowMissingColumns=True)
+        window = Window.partitionBy(*group).orderBy(LIVE, *self.order)
+        names = [c for c in self.df.columns if c != CHUNK]
+        recent = F.collect_list(F.struct(*names)).over(window.rowsBetween(-(back - 1), 0))
+        last = self._borders(data.withColumn("_digest", recent), chunk, window)
+        return last.select(F.explode("_digest").alias("_row"), F.col("_next").alias(CHUNK)).select("_row.*", CHUNK)
+
+    def _grouped(self, digest: DataFrame, chunk: str, levels: int, above: Callable[[DataFrame, str], DataFrame]):
+        """(digest marked live, window columns, seeds from the level above or None)."""
+        live = digest.withColumn(LIVE, F.lit(True))
+        if levels == 1:
+            return live, self.keys, None
+        up = f"{chunk}_"
+        live = live.withColumn(up, F.shiftright(chunk, self._bits))
+        seeds = above(live.drop(LIVE), up).withColumnRenamed(CHUNK, up).withColumn(LIVE, F.lit(False))
+        return live, [*self.keys, up], seeds
+
+    @staticmethod
+    def _borders(data: DataFrame, chunk: str, window: WindowSpec) -> DataFrame:
+        """The last row before every next chunk of its window partition; ``_next`` is that chunk."""
+        data = data.withColumn("_next", F.lead(chunk).over(window))
+        return data.where(F.col("_next").isNotNull() & ~F.col("_next").eqNullSafe(F.col(chunk)))
+
     def running_top(self, n: int, value: str, seq: str, out: str) -> KeyedSequence:
         """Add ``out``: the best ``n`` rows so far as an array of structs (value, -seq), largest value first, earlier first on ties.
 
@@ -189,16 +219,7 @@ class KeyedSequence:
         entry = F.struct(F.col(value).alias("value"), (-F.col(seq)).alias("neg_seq"))
         data = self._with(self.df.withColumn("_entry", entry))
         if self.split:
-            best_first = Window.partitionBy(*self.group).orderBy(F.desc("_entry"))
-            digest = (
-                data.df.where(F.col(CHUNK).isNotNull())
-                .withColumn("_nth", F.row_number().over(best_first))
-                .where(F.col("_nth") <= n)
-                .drop("_nth")
-            )
-            through_chunks = Window.partitionBy(*self.keys).orderBy(CHUNK, *self.order)
-            digest = _cascade(digest, n, through_chunks, "_top")
-            carried = self._last_of_chunk(digest).select(*self.keys, F.explode("_top").alias("_entry"), CHUNK)
+            carried = self._best_before(data.df.where(F.col(CHUNK).isNotNull()), n, CHUNK, self._levels)
             seeds = carried.select(
                 *self.keys, CHUNK, "_entry", (-F.col("_entry.neg_seq")).cast(data.df.schema[seq].dataType).alias(seq)
             )
@@ -207,20 +228,15 @@ class KeyedSequence:
         done = _cascade(data.df, n, window, out).drop("_entry")
         return self._with(done.where(LIVE).drop(LIVE) if self.split else done)
 
-    def _last_of_chunk(self, digest: DataFrame) -> DataFrame:
-        """The last digest row of every chunk that has a successor, with ``CHUNK`` moved on to that successor."""
-        through_chunks = Window.partitionBy(*self.keys).orderBy(CHUNK, *self.order)
-        return (
-            digest.withColumn("_next", F.lead(CHUNK).over(through_chunks))
-            .where(F.col("_next") != F.col(CHUNK))
-            .withColumn(CHUNK, F.col("_next"))
-            .drop("_next")
-        )
-
-    def _hand_on(self, digest: DataFrame) -> DataFrame:
-        last = self._last_of_chunk(digest).select(F.explode("_digest").alias("_row"), F.col(CHUNK).alias("_to"))
-        fields = [F.col(f"_row.{c}").alias(c) for c in self.df.columns if c != CHUNK]
-        return last.select(*fields, F.col("_to").alias(CHUNK))
+    def _best_before(self, rows: DataFrame, n: int, chunk: str, levels: int) -> DataFrame:
+        """For every chunk but a key's first, the ``n`` best entries before it, with ``CHUNK`` naming the chunk they precede."""
+        best_first = Window.partitionBy(*self.keys, chunk).orderBy(F.desc("_entry"))
+        best = rows.withColumn("_nth", F.row_number().over(best_first)).where(F.col("_nth") <= n).select(*self.keys, chunk, "_entry")
+        best, group, seeds = self._grouped(best, chunk, levels, lambda t, up: self._best_before(t, n, up, levels - 1))
+        data = best if seeds is None else best.unionByName(seeds, allowMissingColumns=True)
+        window = Window.partitionBy(*group).orderBy(LIVE, chunk, "_entry")
+        last = self._borders(_cascade(data, n, window, "_top"), chunk, window)
+        return last.select(*self.keys, F.explode("_top").alias("_entry"), F.col("_next").alias(CHUNK))
 
     def _seed(self, seeds: DataFrame) -> DataFrame:
         return self.df.withColumn(LIVE, F.lit(True)).unionByName(
@@ -251,10 +267,8 @@ def _fold(
     bits: int,
     levels: int,
 ) -> DataFrame:
-    """Running aggregates of the input columns; chunk seeds come from the same function one level up.
-
-    Each level shortens the sequence by a factor of up to ``2**bits``, so with two levels above the rows no window
-    partition is ever long, whatever the size of the data.
+    """Running aggregates of the input columns; chunk seeds come from the same function one level up, at most ``2**bits``
+    of them in one window partition where the levels cover the chunk numbers.
     """
     group = [*keys, chunk] if chunk else keys
     if chunk:
