@@ -55,7 +55,12 @@ def exact_sum(value: Column | str, scale: int = 2) -> Column:
 
 
 def exact_units(value: Column | str, scale: int = 2) -> Column:
-    return F.round(_col(value) * F.lit(10**scale)).cast("bigint")
+    """The value in whole units of its last decimal; a value with more decimals is an error, not rounded away."""
+    scaled = _col(value) * F.lit(10**scale)
+    whole = F.round(scaled)
+    fits = F.abs(scaled - whole) <= F.abs(scaled) * F.lit(1e-9) + F.lit(1e-6)
+    problem = F.concat(F.lit(f"more than {scale} decimals: "), _col(value).cast("string"))
+    return F.when(fits | scaled.isNull(), whole.cast("bigint")).otherwise(F.raise_error(problem).cast("bigint"))
 
 
 def exact_value(units: Column, scale: int = 2) -> Column:

@@ -1,18 +1,28 @@
 from tidewater.operators.aggregates import (
     Aggregator,
     aggregate_with,
+    apply_to_windows,
     distinct_first,
     max_field,
     max_field_running,
     max_record,
     max_record_running,
     ordinal,
+    reduce_in_order,
     running_distinct,
 )
 from tidewater.operators.alarms import jump_alarm, no_drop_alarm, timer_fires
 from tidewater.operators.changelog import retract_count
 from tidewater.operators.joins import interval_join, reconcile, unmatched
-from tidewater.operators.late import classify, late_updates, replay_watermark, sliding_counts_with_late
+from tidewater.operators.late import (
+    classify,
+    late_updates,
+    replay_watermark,
+    sessions_bounded,
+    sliding_bounded,
+    sliding_counts_with_late,
+    tumbling_bounded,
+)
 from tidewater.operators.match import match_sequence, match_times
 from tidewater.operators.ordered import (
     KeyedSequence,
@@ -28,6 +38,7 @@ __all__ = [
     "Aggregator",
     "KeyedSequence",
     "aggregate_with",
+    "apply_to_windows",
     "classify",
     "co_map",
     "count_sliding",
@@ -45,6 +56,7 @@ __all__ = [
     "no_drop_alarm",
     "ordinal",
     "reconcile",
+    "reduce_in_order",
     "replay_watermark",
     "retract_count",
     "rich_map",
@@ -54,12 +66,15 @@ __all__ = [
     "running_min",
     "running_sum",
     "sessions",
+    "sessions_bounded",
     "shuffle_rows",
     "sliding",
+    "sliding_bounded",
     "sliding_counts_with_late",
     "split_rows",
     "timer_fires",
     "tumbling",
+    "tumbling_bounded",
     "unmatched",
     "union_all",
     "words",

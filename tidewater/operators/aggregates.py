@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pandas.core.groupby import DataFrameGroupBy
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidewater.functions.layout import layout
 from tidewater.operators.ordered import KeyedSequence, running_count, running_max, running_min
@@ -101,6 +103,8 @@ class Aggregator(ABC):
 def aggregate_with(df: DataFrame, keys: list[str], aggregator: Aggregator, held: int = 100_000) -> DataFrame:
     """Aggregate per key with an ``Aggregator``.
 
+    Whole numbers and booleans arrive in pandas' nullable types, so NULL leaves them as they are; NULL keys form a group.
+
     Each input task first builds its own accumulators (at most about ``held`` at a time), so a key arrives at the
     merging task about once per input task and not once per row; the merge streams over accumulators sorted by key.
     """
@@ -115,29 +119,108 @@ def aggregate_with(df: DataFrame, keys: list[str], aggregator: Aggregator, held:
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         return aggregator.merge(grouped(rows)).reset_index()[partial_schema.names]
 
-    def partials(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        blocks, rows = [], 0
+    def frames(batches: Iterable[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            blocks.append(aggregator.partial(grouped(batch)).reset_index()[partial_schema.names])
+            if batch.num_rows:
+                yield batch.to_pandas(types_mapper=_NULLABLE.get)
+
+    def table(rows: pd.DataFrame, schema: T.StructType) -> Iterator[pa.RecordBatch]:
+        kinds = pa.schema([pa.field(f.name, to_arrow_type(f.dataType)) for f in schema])
+        yield from pa.Table.from_pandas(rows[schema.names], kinds, preserve_index=False, safe=True).to_batches()
+
+    def partials(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks, rows = [], 0
+        for frame in frames(batches):
+            blocks.append(aggregator.partial(grouped(frame)).reset_index()[partial_schema.names])
             rows += len(blocks[-1])
             if rows >= held:
                 blocks = [merge(pd.concat(blocks))]
                 rows = len(blocks[0])
                 if rows >= held // 2:
-                    yield blocks.pop()
+                    yield from table(blocks.pop(), partial_schema)
                     rows = 0
         if blocks:
-            yield merge(pd.concat(blocks))
+            yield from table(merge(pd.concat(blocks)), partial_schema)
 
-    def merged(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
-        for batch in batches:
-            done = merge(batch if last is None else pd.concat([last, batch]))
+        for frame in frames(batches):
+            done = merge(frame if last is None else pd.concat([last, frame]))
             last = done.iloc[-1:]
             if len(done) > 1:
-                yield aggregator.result(done.iloc[:-1])[final_schema.names]
+                yield from table(aggregator.result(done.iloc[:-1]), final_schema)
         if last is not None:
-            yield aggregator.result(last)[final_schema.names]
+            yield from table(aggregator.result(last), final_schema)
+
+    parts = df.mapInArrow(partials, partial_schema)
+    return parts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(merged, final_schema)
+
+
+_NULLABLE = {
+    pa.int8(): pd.Int8Dtype(),
+    pa.int16(): pd.Int16Dtype(),
+    pa.int32(): pd.Int32Dtype(),
+    pa.int64(): pd.Int64Dtype(),
+    pa.bool_(): pd.BooleanDtype(),
+}
+
+
+def reduce_in_order(
+    df: DataFrame, keys: list[str], order: list[str], function: Callable[[dict, dict], dict], parts: int | None = None
+) -> DataFrame:
+    """Reduce the rows of each key pairwise, in ``order``, with a Python function of two rows without keys and order.
+
+    ``function`` must be associative; it need not commute. Rows are range-partitioned on key and order, so a task holds a
+    stretch of the order and gives one row for each of its keys, and a hot key is spread over tasks. The few rows that a
+    key has left, one per task that held it, are reduced in a second step. A single row stays as it is.
+    """
+    values = [c for c in df.columns if c not in keys and c not in order]
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = len(keys) + len(order)
+
+    def fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, held, schema = None, None, None
+        for batch in batches:
+            schema, done = batch.schema, []
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                value = dict(zip(values, row[width:]))
+                if head is not None and head[: len(keys)] == row[: len(keys)]:
+                    held = function(held, value)
+                else:
+                    if head is not None:
+                        done.append((*head, *[held[c] for c in values]))
+                    head, held = row[:width], value
+            if done:
+                yield _batch(done, schema)
+        if head is not None:
+            yield _batch([(*head, *[held[c] for c in values])], schema)
+
+    rows = df.select(*keys, *order, *values)
+    some = rows.repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order).mapInArrow(fold, rows.schema)
+    return some.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(fold, rows.schema).select(*keys, *values)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def apply_to_windows(
+    df: DataFrame, keys: list[str], ts: str, width_ms: int, function: Callable[[tuple, int, pd.DataFrame], pd.DataFrame], schema: str
+) -> DataFrame:
+    """Call ``function(key, window start in ms, rows)`` for every key and tumbling window; its frames follow the keys and the start.
+
+    All rows of one window of one key are in memory at a time: choose the width so that they fit. What combines
+    belongs into ``aggregate_with`` or an ordinary aggregate.
+    """
+    from tidewater.operators.windows import floor_to, millis
+
+    placed = df.withColumn("win_start_ms", floor_to(millis(ts), width_ms)).where("win_start_ms is not null")
+    out = T.StructType([*[df.schema[k] for k in keys], T.StructField("win_start_ms", T.LongType()), *layout(schema)])
+
+    def run(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        done = function(group[:-1], int(group[-1]), rows.drop(columns=[*keys, "win_start_ms"]))
+        for at, name in enumerate([*keys, "win_start_ms"]):
+            done.insert(at, name, pd.Series([group[at]] * len(done), index=done.index, dtype=object))
+        return done
 
-    parts = df.mapInPandas(partials, partial_schema)
-    return parts.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(merged, final_schema)
+    return placed.groupBy(*keys, "win_start_ms").applyInPandas(run, out)

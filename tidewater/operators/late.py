@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.ordered import KeyedSequence, running_count, running_max, running_sum
-from tidewater.operators.windows import floor_to, oldest_start
+from tidewater.operators.windows import MERGE, floor_to, oldest_start, sessions, window_starts
 from tidewater.session import checkpointed
 
 ON_TIME, LATE, ASIDE = "on_time", "late_accepted", "side_output"
@@ -51,16 +51,21 @@ def late_updates(
     delay_ms: int,
     lateness_ms: int,
     value: Column,
+    slide_ms: int | None = None,
 ) -> DataFrame:
-    """Every result a tumbling window emits: ``keys, win_start_ms, fire_no, value``.
+    """Every result a tumbling or sliding window emits: ``keys, win_start_ms, fire_no, value``.
 
-    The first firing holds all rows that were on time; each accepted late row fires again with the new total. Rows on
-    time are summed before the shuffle, only late rows are put in order.
+    The first firing holds all rows that were on time; each accepted late row fires again with the new total, in every one of
+    its windows that had fired and is still open. Rows on time are summed before the shuffle, only late rows are
+    put in order.
     """
-    seen = classify(df, ts_ms, order, size_ms, size_ms, delay_ms, lateness_ms)
+    slide_ms = slide_ms or size_ms
+    seen = replay_watermark(df, ts_ms, order, delay_ms)
     placed = seen.select(
-        *keys, floor_to(F.col(ts_ms), size_ms).alias("win_start_ms"), *order, "lateness", value.alias("_value")
+        *keys, *order, "wm_before", value.alias("_value"), F.explode(window_starts(F.col(ts_ms), size_ms, slide_ms)).alias("win_start_ms")
     )
+    lateness = lateness_class(F.col("win_start_ms"), size_ms, lateness_ms, F.col("wm_before"))
+    placed = placed.withColumn("lateness", lateness).drop("wm_before")
     group = [*keys, "win_start_ms"]
     first = placed.where(F.col("lateness") == ON_TIME).groupBy(*group).agg(F.sum("_value").alias("_value"))
     # The first firing precedes every late row: its order columns are NULL, which sorts first.
@@ -71,34 +76,71 @@ def late_updates(
     return done.select(*group, "fire_no", "value")
 
 
-def sliding_counts_with_late(
-    df: DataFrame, keys: list[str], ts_ms: str, order: list[str], size_ms: int, slide_ms: int, delay_ms: int, lateness_ms: int
-) -> tuple[DataFrame, DataFrame]:
-    """(final counts ``keys, win_start_ms, cnt`` of sliding windows, rows that came too late for all their windows).
+def tumbling_bounded(
+    df: DataFrame, keys: list[str], ts_ms: str, order: list[str], size_ms: int, delay_ms: int, **aggregates: Column
+) -> DataFrame:
+    """Aggregates per key and window over the rows that arrived before their window fired; later rows are dropped."""
+    seen = classify(df, ts_ms, order, size_ms, size_ms, delay_ms, 0).where(F.col("lateness") == ON_TIME)
+    start = floor_to(F.col(ts_ms), size_ms).alias("win_start_ms")
+    return seen.groupBy(*keys, start).agg(*[c.alias(n) for n, c in aggregates.items()])
+
+
+def sliding_bounded(
+    df: DataFrame,
+    keys: list[str],
+    ts_ms: str,
+    order: list[str],
+    size_ms: int,
+    slide_ms: int,
+    delay_ms: int,
+    **folds: tuple[str, Column],
+) -> DataFrame:
+    """As ``sliding``, but a row counts only in those of its windows that had not fired when it arrived."""
+    seen = replay_watermark(df, ts_ms, order, delay_ms)
+    return _open_windows(seen, keys, ts_ms, size_ms, slide_ms, 0, folds)
 
-    A late row still counts in those of its windows that are open. Rows are reduced to ``(key, slide slot, oldest open
-    window)`` before they are copied into windows; rows on time share one such entry per slot.
+
+def sessions_bounded(
+    df: DataFrame, keys: list[str], ts: str, order: list[str], gap_ms: int, delay_ms: int, **aggregates: Column
+) -> DataFrame:
+    """Sessions of the rows that were not late: a row is late if the watermark has reached the end of the session it
+    would form alone (``ts + gap - 1 ms``)."""
+    seen = replay_watermark(df.withColumn("_at", F.unix_millis(ts)), "_at", order, delay_ms)
+    alone = lateness_class(F.col("_at"), gap_ms, 0, F.col("wm_before"))
+    return sessions(seen.where(alone == ON_TIME).drop("_at", "wm_before"), keys, ts, gap_ms, **aggregates)
+
+
+def _open_windows(
+    seen: DataFrame, keys: list[str], ts_ms: str, size_ms: int, slide_ms: int, lateness_ms: int, folds: dict[str, tuple[str, Column]]
+) -> DataFrame:
+    """Sliding aggregates over the windows of each row that are open, given its watermark.
+
+    Rows are reduced to ``(key, slide slot, oldest open window)`` before they are copied into windows; rows on time share one
+    such entry per slot.
     """
     if slide_ms > size_ms:
         raise ValueError("windows must touch: slide_ms may not exceed size_ms")
-    seen = classify(df, ts_ms, order, size_ms, slide_ms, delay_ms, lateness_ms)
-    aside = seen.where(F.col("lateness") == ASIDE).select(*df.columns)
-    oldest = oldest_start(F.col(ts_ms), size_ms, slide_ms)
     # A window is open while start + size - 1 + lateness > watermark.
     bound = F.col("wm_before") - F.lit(size_ms - 1 + lateness_ms)
-    first_open = F.greatest(oldest, floor_to(bound, slide_ms) + F.lit(slide_ms))
+    first_open = F.greatest(oldest_start(F.col(ts_ms), size_ms, slide_ms), floor_to(bound, slide_ms) + F.lit(slide_ms))
     slots = (
-        seen.where(F.col("lateness") != ASIDE)
-        .groupBy(*keys, floor_to(F.col(ts_ms), slide_ms).alias("_newest"), first_open.alias("_oldest"))
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    )
-    counts = (
-        slots.select(
-            *keys,
-            F.explode(F.sequence("_oldest", "_newest", F.lit(slide_ms).cast("bigint"))).alias("win_start_ms"),
-            "cnt",
-        )
-        .groupBy(*keys, "win_start_ms")
-        .agg(F.sum("cnt").alias("cnt"))
+        seen.groupBy(*keys, floor_to(F.col(ts_ms), slide_ms).alias("_newest"), first_open.alias("_oldest"))
+        .agg(*[MERGE[kind](value).alias(name) for name, (kind, value) in folds.items()])
+        .where(F.col("_oldest") <= F.col("_newest"))
     )
-    return counts, aside
+    starts = F.explode(F.sequence("_oldest", "_newest", F.lit(slide_ms).cast("bigint"))).alias("win_start_ms")
+    merged = slots.select(*keys, starts, *folds).groupBy(*keys, "win_start_ms")
+    return merged.agg(*[MERGE[kind](name).alias(name) for name, (kind, _) in folds.items()])
+
+
+def sliding_counts_with_late(
+    df: DataFrame, keys: list[str], ts_ms: str, order: list[str], size_ms: int, slide_ms: int, delay_ms: int, lateness_ms: int
+) -> tuple[DataFrame, DataFrame]:
+    """(final counts ``keys, win_start_ms, cnt`` of sliding windows, rows that came too late for all their windows).
+
+    A late row still counts in those of its windows that are open.
+    """
+    seen = classify(df, ts_ms, order, size_ms, slide_ms, delay_ms, lateness_ms)
+    aside = seen.where(F.col("lateness") == ASIDE).select(*df.columns)
+    one = ("sum", F.lit(1).cast("bigint"))
+    return _open_windows(seen, keys, ts_ms, size_ms, slide_ms, lateness_ms, {"cnt": one}), aside

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.ordered import KeyedSequence, hot_keys, running_count, running_max
 
-_MERGE = {"sum": F.sum, "max": F.max, "min": F.min}
+MERGE = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 def millis(ts: Column | str) -> Column:
@@ -38,14 +38,14 @@ def sliding(
     pane = gcd(size_ms, slide_ms)
     panes = (
         df.groupBy(*keys, floor_to(millis(ts), pane).alias("_pane"))
-        .agg(*[_MERGE[kind](value).alias(name) for name, (kind, value) in folds.items()])
+        .agg(*[MERGE[kind](value).alias(name) for name, (kind, value) in folds.items()])
         .where(F.col("_pane").isNotNull())
     )
     covering = window_starts(F.col("_pane"), size_ms, slide_ms)
     return (
         panes.select(*keys, F.explode(covering).alias("win_start_ms"), *folds)
         .groupBy(*keys, "win_start_ms")
-        .agg(*[_MERGE[kind](name).alias(name) for name, (kind, _) in folds.items()])
+        .agg(*[MERGE[kind](name).alias(name) for name, (kind, _) in folds.items()])
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidewater import operators as op
 from tidewater.functions import exact_sum, split_words
 from tidewater.functions.scalars import exact_units, exact_value
-from tidewater.operators.ordered import KeyedSequence, running_count, running_sum
+from tidewater.operators.ordered import KeyedSequence, hot_share, running_count, running_sum
 from tidewater.plans.registry import query
 from tidewater.plans.rows import _WORDS
 
@@ -33,7 +33,9 @@ def word_count(t):
 )
 def word_count_running(t):
     tokens = _tokens(t, "pos")
-    counted = KeyedSequence(tokens, ["word"], ["doc_id", "pos"]).running(n=running_count()).rows()
+    some = t.documents.sample(hot_share(t.spark), seed=7).select(F.col("text").alias("value"))
+    sequence = KeyedSequence(tokens, ["word"], ["doc_id", "pos"], looked_at=op.words(some).select("word"))
+    counted = sequence.running(n=running_count()).rows()
     return counted.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "word", "n")
 
 
@@ -89,11 +91,23 @@ def max_by_running(t):
     return done.select("user_id", "event_id", "best_value", "best_event_id", "best_event_type")
 
 
-@query(f"with {_WORDS} select word, count(*) as n from words group by word")
+def _visit(before, row):
+    """Where a user came from and went to, and what was spent on the way, in cents."""
+    return {"first": before["first"], "last": row["last"], "cents": before["cents"] + row["cents"]}
+
+
+@query(
+    """
+    select user_id, arg_min(event_type, event_id) as first, arg_max(event_type, event_id) as last,
+           sum(cast(round(value * 100) as bigint))::bigint as cents
+    from events group by user_id
+    """
+)
 def keyed_reduce(t):
-    # Adding pairs of counts is a sum.
-    pairs = _tokens(t).select("word", F.lit(1).cast("bigint").alias("n"))
-    return pairs.groupBy("word").agg(F.sum("n").alias("n"))
+    rows = t.events.select(
+        "user_id", "event_id", F.col("event_type").alias("first"), F.col("event_type").alias("last"), exact_units("value").alias("cents")
+    )
+    return op.reduce_in_order(rows, ["user_id"], ["event_id"], _visit)
 
 
 _PAIRS = "(select event_id, event_type, cast(json_extract(props, '$.k') as bigint) as k from events)"
@@ -169,24 +183,24 @@ def first_token_weighted(t):
     return tokens.groupBy(F.get("tokens", F.lit(0)).alias("word")).agg(weight)
 
 
-@query("select user_id, round(sum(cast(value as decimal(18, 2)))::double / count(*), 6) as average from events group by user_id")
+@query("select user_id, round(sum(cast(value as decimal(18, 2)))::double / count(value), 6) as average from events group by user_id")
 def avg_by_key(t):
-    average = exact_sum("value") / F.count(F.lit(1))
+    average = exact_sum("value") / F.count("value")
     return t.events.groupBy("user_id").agg(F.round(average, 6).alias("average"))
 
 
 @query(
     """
-    select user_id, event_id, round(sum(cast(value as decimal(18, 2))) over w::double / count(*) over w, 6) as average
+    select user_id, event_id, round(sum(cast(value as decimal(18, 2))) over w::double / nullif(count(value) over w, 0), 6) as average
     from events
     window w as (partition by user_id order by event_id rows between unbounded preceding and current row)
     """
 )
 def avg_running(t):
     done = KeyedSequence(_by_user(t), ["user_id"], ["event_id"]).running(
-        total=running_sum(exact_units("value")), n=running_count()
+        total=running_sum(exact_units("value")), n=running_count(F.col("value").isNotNull())
     )
-    average = F.round(exact_value(F.col("total")) / F.col("n"), 6).alias("average")
+    average = F.round(exact_value(F.col("total")) / F.nullif(F.col("n"), F.lit(0)), 6).alias("average")
     return done.rows().select("user_id", "event_id", average)
 
 

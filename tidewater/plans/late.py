@@ -119,3 +119,81 @@ def sliding_late_aside(t):
         ["user_id"], "ts_ms", _ORDER, HOUR, HOUR // 2, HOUR, 30 * MINUTE,
     )
     return aside.select("event_id", "user_id", "ts_ms")
+
+
+@query(
+    f"""
+    with {_SEEN}, placed as (
+        select *, ts_ms // {HOUR} * {HOUR} - i * {HOUR} as win_start_ms from seen, range(3) r(i)
+    ), judged as (
+        select *, {_class_sql("win_start_ms", 3 * HOUR, 30 * MINUTE)} as lateness from placed
+    ), totals as (
+        select *, sum(cast(value as decimal(18, 2))) over w::double as total,
+               count(*) filter (where lateness = 'late_accepted') over w as n_late,
+               count(*) filter (where lateness = 'on_time') over (partition by win_start_ms) as n_on_time,
+               row_number() over w as rn
+        from judged where lateness <> 'side_output'
+        window w as (partition by win_start_ms order by (lateness <> 'on_time')::int, arrival, event_id
+                     rows between unbounded preceding and current row)
+    )
+    select win_start_ms, n_late + case when n_on_time > 0 then 1 else 0 end as fire_no, total as value
+    from totals where lateness = 'late_accepted' or rn = n_on_time
+    """
+)
+def late_updates_sliding(t):
+    done = op.late_updates(
+        _arrivals(t), [], "ts_ms", _ORDER, 3 * HOUR, HOUR, 30 * MINUTE, exact_units("value"), slide_ms=HOUR
+    )
+    return done.select("win_start_ms", "fire_no", exact_value(F.col("value")).alias("value"))
+
+
+@query(
+    f"""
+    with {_SEEN}
+    select user_id, ts_ms // {2 * HOUR} * {2 * HOUR} as win_start_ms, sum(cast(value as decimal(18, 2)))::double as total, count(*) as n
+    from seen where {_class_sql(f"ts_ms // {2 * HOUR} * {2 * HOUR}", 2 * HOUR, 0)} = 'on_time'
+    group by all
+    """
+)
+def et_tumbling_bounded(t):
+    done = op.tumbling_bounded(
+        _arrivals(t), ["user_id"], "ts_ms", _ORDER, 2 * HOUR, HOUR, units=F.sum(exact_units("value")), n=F.count(F.lit(1))
+    )
+    return done.select("user_id", "win_start_ms", exact_value(F.col("units")).alias("total"), "n")
+
+
+@query(
+    f"""
+    with {_SEEN}, placed as (
+        select *, ts_ms // {HOUR} * {HOUR} - i * {HOUR} as win_start_ms from seen, range(4) r(i)
+    )
+    select user_id, win_start_ms, sum(cast(value as decimal(18, 2)))::double as total, count(*) as n
+    from placed where {_class_sql("win_start_ms", 4 * HOUR, 0)} = 'on_time'
+    group by all
+    """
+)
+def et_sliding_bounded(t):
+    done = op.sliding_bounded(
+        _arrivals(t), ["user_id"], "ts_ms", _ORDER, 4 * HOUR, HOUR, HOUR,
+        units=("sum", exact_units("value")), n=("sum", F.lit(1).cast("bigint")),
+    )
+    return done.select("user_id", "win_start_ms", exact_value(F.col("units")).alias("total"), "n")
+
+
+@query(
+    f"""
+    with {_SEEN}, kept as (select * from seen where {_class_sql("ts_ms", 2 * HOUR, 0)} = 'on_time'),
+    marked as (
+        select *, case when ts_ms - lag(ts_ms) over (partition by user_id order by ts_ms, event_id) <= {2 * HOUR} then 0 else 1 end as fresh
+        from kept
+    ), numbered as (
+        select *, sum(fresh) over (partition by user_id order by ts_ms, event_id rows between unbounded preceding and current row) as s
+        from marked
+    )
+    select user_id, min(ts_ms) as session_start_ms, max(ts_ms) + {2 * HOUR} as session_end_ms, count(*) as n
+    from numbered group by user_id, s
+    """
+)
+def et_session_bounded(t):
+    rows = _arrivals(t).withColumn("ts", F.timestamp_millis("ts_ms"))
+    return op.sessions_bounded(rows, ["user_id"], "ts", _ORDER, 2 * HOUR, HOUR, n=F.count(F.lit(1)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidewater import operators as op
@@ -126,10 +127,10 @@ def count_sliding(t):
     return done.select("user_id", "event_id", exact_value(F.col("units")).alias("total"))
 
 
-@query("select user_id, event_id, value as total from events")
+@query("select user_id, row_number() over (partition by user_id order by event_id) - 1 as block, cast(value as decimal(18, 2))::double as total from events")
 def global_trigger_each(t):
-    # A trigger that fires and purges on every row makes each row a window of its own: a projection.
-    return t.events.select("user_id", "event_id", F.col("value").alias("total"))
+    # A trigger that fires and purges on every row: count windows of one row.
+    return op.count_tumbling(_sensor(t), ["user_id"], "event_id", 1, total=exact_sum("value"))
 
 
 @query(_tumbling_sql(6 * HOUR, key="", extra=_SUM + ", arg_min(user_id, event_id) as first_user"))
@@ -156,21 +157,59 @@ def window_agg_with_start(t):
     )
 
 
-class _WindowCount(op.Aggregator):
-    schema = "n bigint, low double"
+class _Low(op.Aggregator):
+    """Count, and the smallest value with the number of rows that hold it."""
+
+    schema = "n bigint, low double, times bigint"
     columns = ["value"]
 
     def partial(self, groups):
-        return groups.agg(n=("value", "size"), low=("value", "min"))
+        return groups["value"].agg(n="size", low="min", times=lambda v: int((v == v.min()).sum()))
 
     def merge(self, groups):
-        return groups.agg(n=("n", "sum"), low=("low", "min"))
+        low = groups["low"].transform("min")
+        rows = groups.obj.assign(times=groups.obj["times"].where(groups.obj["low"] == low, 0))
+        return rows.groupby(groups.keys, dropna=False, sort=False).agg(n=("n", "sum"), low=("low", "min"), times=("times", "sum"))
+
+
+_LOWS = f"""
+    with placed as (select user_id % 4 as k, epoch_us(ts) // 1000 // {6 * HOUR} * {6 * HOUR} as win_start_ms, floor(value / 50) as value from events)
+    select k, win_start_ms, count(*) as n, min(value) as low, count(*) filter (value = low_of) as times
+    from (select *, min(value) over (partition by k, win_start_ms) as low_of from placed) group by k, win_start_ms
+    """
 
 
-@query(_tumbling_sql(6 * HOUR, extra=", count(*) as n, min(value) as low"))
+@query(_LOWS)
 def window_process_udf(t):
-    placed = t.events.select("user_id", floor_to(millis("ts"), 6 * HOUR).alias("win_start_ms"), "value")
-    return op.aggregate_with(placed, ["user_id", "win_start_ms"], _WindowCount())
+    placed = t.events.select(
+        (F.col("user_id") % 4).alias("k"), floor_to(millis("ts"), 6 * HOUR).alias("win_start_ms"), F.floor(F.col("value") / 50).cast("double").alias("value")
+    )
+    return op.aggregate_with(placed, ["k", "win_start_ms"], _Low())
+
+
+def _peaks(key, start, rows):
+    """How many readings are above both neighbours in arrival order, and the first of them (-1: none)."""
+    values = rows.sort_values("event_id")["value"].to_numpy()
+    ids = rows["event_id"].sort_values().to_numpy()
+    peak = (values[1:-1] > values[:-2]) & (values[1:-1] > values[2:])
+    first = int(ids[1:-1][peak][0]) if peak.any() else -1
+    return pd.DataFrame({"peaks": [int(peak.sum())], "first_peak": [first]})
+
+
+@query(
+    f"""
+    with placed as (
+        select user_id, event_id, value, epoch_us(ts) // 1000 // {48 * HOUR} * {48 * HOUR} as win_start_ms from events
+    ), judged as (
+        select *, value > lag(value) over w and value > lead(value) over w as peak from placed
+        window w as (partition by user_id, win_start_ms order by event_id)
+    )
+    select user_id, win_start_ms, count(*) filter (peak) as peaks, coalesce(min(event_id) filter (peak), -1) as first_peak
+    from judged group by user_id, win_start_ms
+    """
+)
+def window_peaks(t):
+    return op.apply_to_windows(_sensor(t), ["user_id"], "ts", 48 * HOUR, _peaks, "peaks bigint, first_peak bigint")
 
 
 @query(_tumbling_sql(5 * HOUR, extra=_SUM + ", count(*) as n"))

@@ -3,7 +3,9 @@
     spark.dataSource.register(SensorFolder)
     spark.readStream.format("sensor_folder").load("/shared/sensors")
 
-Files must arrive in the order of their names; the stream offset is the name of the last file read.
+A stream reads files in order of their modification time, then name; its offset is the last file read and the number
+of files up to it. A file that turns up behind the offset (moved there with an old modification time) stops the
+stream with an error instead of being lost. Large files are cut at line ends into splits of ``splitBytes`` (32 MB).
 """
 
 from __future__ import annotations
@@ -11,24 +13,59 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
+SPLIT_BYTES = 32 * 1024 * 1024
+_ROWS = 10_000
+
 
 class FilePartition(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, begin: int, end: int):
+        self.path, self.begin, self.end = path, begin, end
+
+
+def _files(folder: str) -> list[tuple[int, str]]:
+    """(modification time in ns, name), in the order of reading."""
+    with os.scandir(folder) as entries:
+        return sorted((e.stat().st_mtime_ns, e.name) for e in entries if e.is_file() and not e.name.startswith((".", "_")))
+
 
+def _splits(folder: str, names: list[str], size: int) -> list[FilePartition]:
+    out = []
+    for name in names:
+        path = os.path.join(folder, name)
+        length = os.path.getsize(path)
+        out += [FilePartition(path, at, min(at + size, length)) for at in range(0, length, size)]
+    return out
 
-def _files(folder: str) -> list[str]:
-    return sorted(f for f in os.listdir(folder) if not f.startswith((".", "_")))
 
+def _lines(partition: FilePartition) -> Iterator[str]:
+    """The lines that begin inside the split."""
+    with open(partition.path, "rb") as file:
+        if partition.begin:
+            file.seek(partition.begin - 1)
+            file.readline()
+        while file.tell() < partition.end:
+            yield file.readline().decode().rstrip("\n")
 
-def _sensor_rows(partition: FilePartition) -> Iterator[tuple[str, int, float]]:
-    with open(partition.path, encoding="utf-8") as lines:
-        for line in lines:
-            name, ts, vc = line.rstrip("\n").split(",")[:3]
-            yield name, int(ts), float(vc)
+
+def _sensor_rows(partition: FilePartition) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("id", pa.string()), ("ts", pa.int64()), ("vc", pa.float64())])
+    rows: list[tuple[str, int, float]] = []
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    for line in _lines(partition):
+        name, ts, vc = line.split(",")[:3]
+        rows.append((name, int(ts), float(vc)))
+        if len(rows) == _ROWS:
+            yield batch()
+            rows.clear()
+    if rows:
+        yield batch()
 
 
 class SensorFolder(DataSource):
@@ -40,39 +77,44 @@ class SensorFolder(DataSource):
         return "id string, ts bigint, vc double"
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _FolderReader(self.options["path"])
+        return _FolderReader(self.options["path"], int(self.options.get("splitBytes", SPLIT_BYTES)))
 
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:
-        return _FolderStream(self.options["path"])
+        return _FolderStream(self.options["path"], int(self.options.get("splitBytes", SPLIT_BYTES)))
 
 
 class _FolderReader(DataSourceReader):
-    def __init__(self, folder: str):
-        self.folder = folder
+    def __init__(self, folder: str, size: int):
+        self.folder, self.size = folder, size
 
     def partitions(self) -> list[FilePartition]:
-        return [FilePartition(os.path.join(self.folder, f)) for f in _files(self.folder)]
+        return _splits(self.folder, [name for _, name in _files(self.folder)], self.size)
 
-    def read(self, partition: FilePartition) -> Iterator[tuple]:
+    def read(self, partition: FilePartition) -> Iterator[pa.RecordBatch]:
         return _sensor_rows(partition)
 
 
 class _FolderStream(DataSourceStreamReader):
-    def __init__(self, folder: str):
-        self.folder = folder
+    def __init__(self, folder: str, size: int):
+        self.folder, self.size = folder, size
 
     def initialOffset(self) -> dict:
-        return {"file": ""}
+        return {"time": 0, "file": "", "count": 0}
 
     def latestOffset(self) -> dict:
         files = _files(self.folder)
-        return {"file": files[-1] if files else ""}
+        time, name = files[-1] if files else (0, "")
+        return {"time": time, "file": name, "count": len(files)}
 
     def partitions(self, start: dict, end: dict) -> list[FilePartition]:
-        fresh = [f for f in _files(self.folder) if start["file"] < f <= end["file"]]
-        return [FilePartition(os.path.join(self.folder, f)) for f in fresh]
+        first, last = (start["time"], start["file"]), (end["time"], end["file"])
+        files = _files(self.folder)
+        behind = sum(f <= first for f in files)
+        if behind > start["count"]:
+            raise ValueError(f"{behind - start['count']} files arrived in {self.folder} behind the last file read, {start['file']}")
+        return _splits(self.folder, [f[1] for f in files if first < f <= last], self.size)
 
-    def read(self, partition: FilePartition) -> Iterator[tuple]:
+    def read(self, partition: FilePartition) -> Iterator[pa.RecordBatch]:
         return _sensor_rows(partition)
 
     def commit(self, end: dict) -> None:
