@@ -350,3 +350,46 @@ def test_state_kinds(spark, folder, events, tmp_path):
         want[r.seq] = (max(values), round(sum(values) / len(values), 6), len(items), len({k for _, k in items}), cleared)
     assert {r.seq: (r.biggest, round(r.average, 6), r.kept, r.kinds, r.cleared) for r in got.collect()} == want
     assert any(w[4] for w in want.values())
+
+
+def test_reconcile_repeats_as_in_batch(spark, tmp_path):
+    rows = [("a", 1), ("a", 2), ("b", 3)]
+    sides = {"l": [*rows, ("c", 4)], "r": [("a", 5), ("a", 6), ("b", 7), ("d", 8)]}
+    frames = {n: spark.createDataFrame(v, "k string, seq bigint").coalesce(1) for n, v in sides.items()}
+    for n, df in frames.items():
+        df.repartitionByRange(2, "seq").write.parquet(str(tmp_path / n))
+    streams = [spark.readStream.schema(frames[n].schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / n)) for n in "lr"]
+    got = collect(spark, apply_stateful(p.tagged(*streams, "k", "seq"), ["k"], p.Reconcile()), tmp_path)
+    pairs = got.selectExpr("k", "get_json_object(left_body, '$.seq')", "get_json_object(right_body, '$.seq')")
+    want = op.reconcile(frames["l"], frames["r"].withColumnRenamed("seq", "other"), "k")
+    assert sorted((k, int(a), int(b)) for k, a, b in pairs.collect()) == sorted(map(tuple, want.collect()))
+
+
+def _shuffled_batches(spark, events, tmp_path):
+    """Batches in which rows arrive up to ten days late, under a watermark that allows for it; then a flush."""
+    rows = events.where("user_id <> -1").coalesce(1)
+    folder = str(tmp_path / "late")
+    for part in range(3):
+        rows.where(f"pmod(event_id * 7, 3) = {part}").coalesce(1).write.mode("append").parquet(folder)
+    flush = rows.limit(1).withColumn("user_id", F.lit(-1).cast("bigint")).withColumn("ts", F.timestamp_seconds(F.lit(1900000000)).cast(rows.schema["ts"].dataType))
+    flush.coalesce(1).write.mode("append").parquet(folder)
+    read = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    return rows, read.withWatermark("ts", "60 days")
+
+
+def test_no_drop_alarm_with_rows_of_a_later_batch(spark, events, tmp_path):
+    rows, late = _shuffled_batches(spark, events, tmp_path)
+    got = collect(spark, apply_stateful(late, ["user_id"], p.NoDropAlarm("value", 12 * HOUR), time="eventTime"), tmp_path)
+    want = op.no_drop_alarm(rows.withColumn("ts", F.date_trunc("millisecond", "ts")), ["user_id"], "ts", "seq", "value", 12 * HOUR)
+    got = got.where("route = 'side'")
+    same(got, want.selectExpr("user_id", "alarm_us div 1000 as at_ms"), ["user_id", "at_ms"])
+
+
+def test_match_sequence_with_rows_of_a_later_batch(spark, events, tmp_path):
+    rows, late = _shuffled_batches(spark, events, tmp_path)
+    steps = ["event_type = 'view'", "event_type <> 'view'"]
+    flagged = late.withColumns({f"f{k}": F.expr(s) for k, s in enumerate(steps)})
+    got = collect(spark, apply_stateful(flagged, ["user_id"], p.MatchSequence(["f0", "f1"], 24 * HOUR), time="eventTime"), tmp_path)
+    want = op.match_sequence(rows, ["user_id"], ["ts", "seq"], "ts", [F.expr(s) for s in steps], 24 * HOUR)
+    want = want.select("user_id", F.unix_millis("first_ts").alias("first_ms"), F.unix_millis("last_ts").alias("last_ms"))
+    same(got, want, ["user_id", "first_ms", "last_ms"])

@@ -89,3 +89,17 @@ def test_folder_splits_at_line_ends(spark, tmp_path):
     for size in (1, 7, 64, 10**6):
         rows = spark.read.format("sensor_folder").option("splitBytes", size).load(str(tmp_path)).collect()
         assert sorted(r.ts for r in rows) == list(range(200))
+
+
+def test_upsert_keeps_the_newer_row():
+    import sqlite3
+
+    from tidewater.sinks.upsert import upsert_statement
+
+    base = sqlite3.connect(":memory:")
+    base.execute("create table t (k text primary key, ts integer, v real)")
+    statement = upsert_statement("t", ["k", "ts", "v"], ["k"], newer="ts")
+    for row in [("a", 5, 1.0), ("a", 3, 2.0), ("a", 5, 3.0), ("b", 1, 4.0)]:
+        base.execute(statement, row)
+    assert base.execute("select * from t order by k").fetchall() == [("a", 5, 3.0), ("b", 1, 4.0)]
+    assert "if(values(ts) >= ts, values(v), v), ts = if(" in upsert_statement("t", ["ts", "k", "v"], ["k"], "mysql", newer="ts")

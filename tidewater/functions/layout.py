@@ -10,6 +10,7 @@ _TYPES = {
     "int": T.IntegerType(),
     "double": T.DoubleType(),
     "boolean": T.BooleanType(),
+    "array<boolean>": T.ArrayType(T.BooleanType()),
     "array<double>": T.ArrayType(T.DoubleType()),
     "array<bigint>": T.ArrayType(T.LongType()),
 }

@@ -1,4 +1,5 @@
-"""Keyed upsert: the last row per key wins, within a batch and across batches.
+"""Keyed upsert: the last row per key wins within a batch; across batches the later batch wins, or the later row where
+the statement is told which column is newer.
 
 A writer is any object with ``open()``, ``write(rows)`` and ``close()``. It is sent to the executors and used once per
 partition, so every partition holds one connection and sends whole blocks of rows.
@@ -77,13 +78,21 @@ class DatabaseWriter:
         return {"connect": self.connect, "statement": self.statement}
 
 
-def upsert_statement(table: str, columns: list[str], keys: list[str], dialect: str = "standard", mark: str = "?") -> str:
-    """``insert ... on conflict ... do update`` or, for ``dialect="mysql"``, ``... on duplicate key update``."""
+def upsert_statement(
+    table: str, columns: list[str], keys: list[str], dialect: str = "standard", mark: str = "?", newer: str | None = None
+) -> str:
+    """``insert ... on conflict ... do update`` or, for ``dialect="mysql"``, ``... on duplicate key update``.
+
+    ``newer`` names the column by which a stored row may only be replaced by one that is not older.
+    """
     changed = [c for c in columns if c not in keys]
     insert = f"insert into {table} ({', '.join(columns)}) values ({', '.join([mark] * len(columns))})"
     if dialect == "mysql":
-        return f"{insert} on duplicate key update {', '.join(f'{c} = values({c})' for c in changed)}"
-    return f"{insert} on conflict ({', '.join(keys)}) do update set {', '.join(f'{c} = excluded.{c}' for c in changed)}"
+        new = "values({c})" if newer is None else f"if(values({newer}) >= {newer}, values({{c}}), {{c}})"
+        changed.sort(key=lambda c: c == newer)  # assignments run from left to right and must all see the stored value
+        return f"{insert} on duplicate key update {', '.join(f'{c} = {new.format(c=c)}' for c in changed)}"
+    guard = f" where excluded.{newer} >= {table}.{newer}" if newer else ""
+    return f"{insert} on conflict ({', '.join(keys)}) do update set {', '.join(f'{c} = excluded.{c}' for c in changed)}{guard}"
 
 
 class ClientWriter:

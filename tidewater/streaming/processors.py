@@ -183,11 +183,14 @@ class DedupFirst(Emitting):
         self.seen = handle.getMapState("seen", layout("value double"), layout("seq bigint"))
 
     def handleInputRows(self, key, rows, timerValues):
-        for r in sorted(rows, key=lambda r: r.seq):
-            value = (r[self.value],)
-            if not self.seen.containsKey(value):
-                self.seen.updateValue(value, (r.seq,))
-                yield self.emit(key, *value, r.seq)
+        first: dict = {}
+        for r in rows:
+            value = r[self.value]
+            first[value] = min(first.get(value, r.seq), r.seq)
+        for value, seq in sorted(first.items(), key=lambda e: e[1]):  # one state access per distinct value
+            if not self.seen.containsKey((value,)):
+                self.seen.updateValue((value,), (seq,))
+                yield self.emit(key, value, seq)
 
 
 class CountWindow(KeyedProcessor):
@@ -254,125 +257,190 @@ class RowTimer(Emitting):
         yield self.emit(key, SIDE, expiredTimerInfo.getExpiryTimeInMs())
 
 
-class NoDropAlarm(KeyedProcessor):
+class Waiting(Emitting):
+    """Rows wait in a list state until the watermark has passed them and are then worked off in order of ``(ts, seq)``.
+
+    So rows that arrive in a later batch but within the watermark's delay still find their place. A key has one timer at
+    a time for this, at the newest row that waited when it was set; ``waiting`` is the layout of what a row keeps, starting
+    with ``at_ms bigint, seq bigint``. What waits is bounded by the rows of the delay.
+    """
+
+    waiting: str
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.queue = handle.getListState("waiting", layout(self.waiting))
+        self.due = handle.getValueState("due", layout("at_ms bigint"))
+
+    def kept(self, row: Row) -> tuple:
+        raise NotImplementedError
+
+    def work(self, key: tuple, rows: list[tuple], passed: int) -> Iterator[Row]:
+        """Handle the ordered rows up to the instant ``passed``; there may be none."""
+        raise NotImplementedError
+
+    def handleInputRows(self, key, rows, timerValues):
+        fresh = [(to_millis(r.ts), r.seq, *self.kept(r)) for r in rows]
+        self.queue.appendList(fresh)
+        if not self.due.exists():
+            self._set_timer(fresh)
+        return iter([])
+
+    def _set_timer(self, rows):
+        newest = max(r[0] for r in rows)
+        self.handle.registerTimer(newest)
+        self.due.update((newest,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        rows = [tuple(r) for r in self.queue.get()] if self.queue.exists() else []
+        ready = sorted((r for r in rows if r[0] <= passed), key=lambda r: r[:2])
+        left = [r for r in rows if r[0] > passed]
+        if left:
+            self.queue.put(left)
+            if ready or not self.due.exists():
+                self._set_timer(left)
+        else:
+            self.queue.clear()
+            self.due.clear()
+        yield from self.work(key, ready, passed)
+
+
+class NoDropAlarm(Waiting):
     """Alarm when a key's value has not dropped below its baseline for ``wait_ms`` (see the batch operator).
 
-    With event time, rows are walked in time order and timers that expire before the next row are settled on the way;
-    one real timer covers the silence after the last row. With processing time the clock is the task's.
+    With event time, rows are walked in order of time and arrival once the watermark has passed them, and timers that expire
+    before the next row are settled on the way; one real timer covers the silence after the last row. With processing time
+    rows are walked as they come and the clock is the task's.
     """
 
     output = "route string, at_ms bigint, value double"
-    state = "baseline double, timer bigint"
-    seq = "ts"
+    waiting = "at_ms bigint, seq bigint, value double"
 
     def __init__(self, value: str, wait_ms: int, event_time: bool = True):
         self.value, self.wait, self.event_time = value, wait_ms, event_time
 
-    def step(self, state, rows, now):
-        baseline, timer = state or (None, None)
+    def init(self, handle):
+        super().init(handle)
+        self.held = handle.getValueState("held", layout("baseline double, timer bigint"))
+
+    def kept(self, row):
+        return (row[self.value],)
+
+    def handleInputRows(self, key, rows, timerValues):
+        if self.event_time:
+            return super().handleInputRows(key, rows, timerValues)
+        now = timerValues.getCurrentProcessingTimeInMs()
+        return self._walk(key, [(now, r.seq, r[self.value]) for r in sorted(rows, key=lambda r: r.seq)], None)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.event_time:
+            yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+        else:
+            yield from self._walk(key, [], expiredTimerInfo.getExpiryTimeInMs())
+
+    def work(self, key, rows, passed):
+        return self._walk(key, rows, passed)
+
+    def _walk(self, key, rows, passed):
+        baseline, timer = self.held.get() if self.held.exists() else (None, None)
         registered = timer
-        out = []
-        for r in rows:
-            value = r[self.value]
-            at = to_millis(r.ts) if self.event_time else now.getCurrentProcessingTimeInMs()
+        for at, _, value in rows:
             if timer is not None and at >= timer:
-                out.append((SIDE, timer, baseline))
+                yield self.emit(key, SIDE, timer, baseline)
                 timer = None
             if baseline is not None and value < baseline:
                 baseline, timer = value, None
             elif timer is None:
                 baseline, timer = value, at + self.wait
-            out.append((MAIN, at, value))
-        if timer != registered:
-            if registered is not None:
-                self.handle.deleteTimer(registered)
-            if timer is not None:
-                self.handle.registerTimer(timer)
-        return (baseline, timer), out
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        state = self.read()
-        if state and state[1] == expiredTimerInfo.getExpiryTimeInMs():
-            self.write((state[0], None))
-            yield self.emit(key, SIDE, state[1], state[0])
+            yield self.emit(key, MAIN, at, value)
+        if timer is not None and passed is not None and timer <= passed:
+            yield self.emit(key, SIDE, timer, baseline)
+            timer = None
+        if timer is not None and timer != registered:
+            self.handle.registerTimer(timer)
+        if baseline is not None:
+            self.held.update((baseline, timer))
 
 
-class MatchTimes(Emitting):
-    """``flag`` true on ``times`` consecutive rows of a key within less than ``within_ms``, in event-time order.
+class MatchSequence(Waiting):
+    """``flags`` true on consecutive rows of a key, one flag per step, within less than ``within_ms`` from first to last.
 
-    Rows wait in a list state until the watermark has passed them, so late arrivals still find their place; only the
-    last ``times - 1`` rows are carried further. A key has one timer at a time, at the newest row that waited when it
-    was set; when it fires, everything up to the watermark is worked off together.
+    Only the last ``len(flags) - 1`` rows are carried further. ``within_ms=None`` sets no limit.
     """
 
     output = "first_ms bigint, last_ms bigint"
+    waiting = "at_ms bigint, seq bigint, flags array<boolean>"
 
-    def __init__(self, flag: str, times: int, within_ms: int, consecutive: bool = True):
-        self.flag, self.times, self.within, self.consecutive = flag, times, within_ms, consecutive
+    def __init__(self, flags: list[str], within_ms: int | None = None):
+        self.flags, self.within = flags, within_ms
 
     def init(self, handle):
-        self.handle = handle
-        row = layout("at_ms bigint, seq bigint, flag boolean")
-        self.waiting = handle.getListState("waiting", row)
-        self.recent = handle.getListState("recent", row)
-        self.due = handle.getValueState("due", layout("at_ms bigint"))
+        super().init(handle)
+        self.recent = handle.getListState("recent", layout(self.waiting))
 
-    def handleInputRows(self, key, rows, timerValues):
-        fresh = [(to_millis(r.ts), r.seq, bool(r[self.flag])) for r in rows]
-        self.waiting.appendList(fresh)
-        if not self.due.exists():
-            self._set_timer(fresh)
-        return iter([])
+    def kept(self, row):
+        return ([bool(row[f]) for f in self.flags],)
 
-    def _set_timer(self, rows):
-        newest = max(r[0] for r in rows)
-        self.handle.registerTimer(newest)
-        self.due.update((newest,))
+    def counts(self, row: tuple) -> bool:
+        """Whether the row takes part."""
+        return True
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        passed = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
-        rows = [tuple(r) for r in self.waiting.get()]
-        ready = sorted(r for r in rows if r[0] <= passed)
-        left = [r for r in rows if r[0] > passed]
-        if left:
-            self.waiting.put(left)
-            self._set_timer(left)
-        else:
-            self.waiting.clear()
-            self.due.clear()
+    def work(self, key, rows, passed):
+        steps = len(self.flags)
         window = [tuple(r) for r in self.recent.get()] if self.recent.exists() else []
-        for row in ready:
-            if not (self.consecutive or row[2]):
+        for row in rows:
+            if not self.counts(row):
                 continue
-            window = [*window, row][-self.times :]
-            full = len(window) == self.times and all(r[2] for r in window)
-            if full and row[0] - window[0][0] < self.within:
+            window = [*window, row][-steps:]
+            full = len(window) == steps and all(r[2][k] for k, r in enumerate(window))
+            if full and (self.within is None or row[0] - window[0][0] < self.within):
                 yield self.emit(key, window[0][0], row[0])
-        window = window[len(window) - self.times + 1 :] if len(window) >= self.times else window
+        window = window[1 - steps :] if steps > 1 else []
         self.recent.put(window) if window else self.recent.clear()
 
 
+class MatchTimes(MatchSequence):
+    """One ``flag`` true on ``times`` rows of a key; without ``consecutive`` other rows may lie in between."""
+
+    def __init__(self, flag: str, times: int, within_ms: int, consecutive: bool = True):
+        super().__init__([flag] * times, within_ms)
+        self.consecutive = consecutive
+
+    def counts(self, row):
+        return self.consecutive or row[2][0]
+
+
 class Reconcile(Emitting):
-    """Two sides of one key (column ``side`` = left/right, JSON in ``body``): the pair is emitted when the second arrives.
+    """Two sides of one key (column ``side`` = left/right, JSON in ``body``): every pair is emitted once both have arrived.
 
-    A met pair leaves no state behind; an unmet row waits, and a repeat of it replaces it.
+    As in the batch join, repeats pair with every row of the other side. Rows are kept for ``keep_ms`` of processing
+    time (the query then needs ``time="processingTime"``); without it they are kept for good.
     """
 
     output = "left_body string, right_body string"
 
+    def __init__(self, keep_ms: int | None = None):
+        self.keep = keep_ms
+
     def init(self, handle):
         text = layout("body string")
-        self.sides = {"left": handle.getValueState("left", text), "right": handle.getValueState("right", text)}
+        self.sides = {name: handle.getListState(name, text, self.keep) for name in ("left", "right")}
 
     def handleInputRows(self, key, rows, timerValues):
+        fresh: dict[str, list[str]] = {"left": [], "right": []}
         for r in sorted(rows, key=lambda r: r.seq):
-            mine, other = (self.sides[r.side], self.sides["left" if r.side == "right" else "right"])
-            if other.exists():
-                partner = other.get()[0]
-                other.clear()
-                yield self.emit(key, *((r.body, partner) if r.side == "left" else (partner, r.body)))
-            else:
-                mine.update((r.body,))
+            fresh[r.side].append(r.body)
+        old = {name: [r[0] for r in state.get()] if state.exists() else [] for name, state in self.sides.items()}
+        for name, bodies in fresh.items():
+            if bodies:
+                self.sides[name].appendList([(body,) for body in bodies])
+        for left in old["left"]:
+            for right in fresh["right"]:
+                yield self.emit(key, left, right)
+        for left in fresh["left"]:
+            for right in [*old["right"], *fresh["right"]]:
+                yield self.emit(key, left, right)
 
 
 def to_millis(ts) -> int:
