@@ -82,7 +82,7 @@ def test_decontamination_in_several_passes(spark, monkeypatch):
 
 def test_near_duplicates(spark):
     docs = documents(spark).withColumn("key", F.lit("clash")).withColumn("root", F.lit(0))
-    assert collected(near_dedup.near_duplicates(docs)) == sorted(brute.near_duplicates(pairs(docs)), key=repr)
+    assert collected(near_dedup.near_duplicates(docs, width=4)) == sorted(brute.near_duplicates(pairs(docs)), key=repr)
 
 
 def test_near_duplicate_groups_that_leaders_do_not_join(spark, monkeypatch):
@@ -97,7 +97,7 @@ def test_near_duplicate_groups_that_leaders_do_not_join(spark, monkeypatch):
         for _ in range(draw.choice((3, 4, 5))):
             now[draw.randrange(200)] = f"n{draw.random()}"
     docs = documents(spark, texts)
-    assert collected(near_dedup.near_duplicates(docs)) == sorted(brute.near_duplicates(pairs(docs)), key=repr)
+    assert collected(near_dedup.near_duplicates(docs, width=4)) == sorted(brute.near_duplicates(pairs(docs)), key=repr)
 
 
 def test_sketches_merge_and_estimate():
@@ -243,6 +243,16 @@ def test_main_text(frame):
     assert pages.main_text(PAGE % (frame % ARTICLE)) == TEXT
 
 
+@pytest.mark.parametrize("label", ["main-menu", "cookieBar", "ad-300x250", "site-header", "post-comments", "sidebar-content", "related"])
+def test_labelled_furniture(label):
+    assert pages.main_text(f'<body><div class="x {label}"><p>Furniture of the page, long enough to matter here.</p></div><div><p>Text.</p></div></body>') == "Text."
+
+
+@pytest.mark.parametrize("label", ["content-with-sidebar", "no-ads", "post comments-open category-notices", "page"])
+def test_labels_of_the_layout(label):
+    assert pages.main_text(f'<body><article class="{label}"><div class="entry-header"><h1>Head</h1></div><p>Text.</p></article></body>') == "Head\nText."
+
+
 def test_odd_pages(spark):
     cut = PAGE.split("</style>")[0]
     html = [None, "", "plain words", "<article><p>open", "<article><p>cut <b", cut, "<nav><ul><li>menu<article><p>in</article>", "<p>a</p>" * 3000, "<div>" * 3000 + "deep"]

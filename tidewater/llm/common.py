@@ -27,7 +27,7 @@ _LOWER[65:91] += 32
 def durable(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
-    Cuts the lineage and survives the loss of executors; the folder of an application is removed by ``clear``.
+    Cuts the lineage and survives the loss of executors.
     """
     spark = df.sparkSession
     path = f"{scratch(spark)}/{label}-{uuid.uuid4().hex[:12]}"
@@ -36,24 +36,27 @@ def durable(df: DataFrame, label: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    return f"{shared_folder_once(spark)}/tidewater-llm-{spark.sparkContext.applicationId}"
+    """The folder of this application below the shared one; it goes when the driver's JVM ends, or by ``clear``."""
+    application = spark.sparkContext.applicationId
+    if application not in _folders:
+        _folders[application] = f"{shared_folder(spark).rstrip('/')}/tidewater-llm-{application}"
+        system, path = _hadoop(spark, _folders[application])
+        system.deleteOnExit(path)
+    return _folders[application]
 
 
 _folders: dict[str, str] = {}
 
 
-def shared_folder_once(spark: SparkSession) -> str:
-    """The shared folder; one temporary folder per application where a local master names none."""
-    application = spark.sparkContext.applicationId
-    if application not in _folders:
-        _folders[application] = shared_folder(spark).rstrip("/")
-    return _folders[application]
+def _hadoop(spark: SparkSession, folder: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
 def clear(spark: SparkSession) -> None:
     """Remove what the operators of this application wrote; call it when their results have been stored."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    system, path = _hadoop(spark, scratch(spark))
+    system.delete(path, True)
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: T.StructType) -> DataFrame:

@@ -277,7 +277,7 @@ def _linked(width: int, percent: int):
 
 
 def near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 4, percent: int = 80
+    docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
@@ -314,7 +314,9 @@ def near_duplicates(
         "classes",
     )
     bands = classes.select("key", "registers").mapInArrow(_band_keys, "band long, key binary")
-    leaders = bands.groupBy("band").agg(F.count("*").alias("n"), F.min_by("key", F.struct(F.xxhash64("key"), "key")).alias("leader")).where("n > 1")
+    leader = F.min_by("key", F.struct(F.xxhash64("key"), "key")).alias("leader")
+    # Results of aggregations are written before they are joined: the joins then have two plain exchanges, whose hot partitions can be split.
+    leaders = durable(bands.groupBy("band").agg(F.count("*").alias("n"), leader).where("n > 1"), "leaders")
     buckets = durable(bands.join(leaders, "band"), "buckets")
     pairs = buckets.select(F.col("leader").alias("a"), F.col("key").alias("b")).where("a != b").distinct()
     likely = durable(_likely(pairs, classes, threshold), "pairs")
@@ -353,7 +355,7 @@ def near_duplicates(
         roots = durable(components(links.union(more)), "roots")
 
     rows = described.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    heads = rows.where("key is not null").groupBy("root").agg(F.min("doc_id").alias("head"))
+    heads = durable(rows.where("key is not null").groupBy("root").agg(F.min("doc_id").alias("head")), "heads")
     return (
         rows.join(heads, "root", "left")
         .select("doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("head")).alias("component_id"))

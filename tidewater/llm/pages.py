@@ -37,12 +37,14 @@ DROPPED = frozenset(
 REGIONS = frozenset("article body div main section table td".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 LABELS = frozenset(
-    "ad ads adsense advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs comment comments "
+    "ad ads adsense alert alerts advert adverts advertisement advertisements advertising banner breadcrumb breadcrumbs comment comments "
     "consent cookie cookies disclaimer disqus footer gdpr header hidden masthead menu menus modal nav navbar navigation newsletter notice "
     "notices overlay pager pagination paywall popup promo promos promotion promotions recommended related reply replies respond "
     "share sharing sidebar sidebars signup skip social sponsor sponsored sponsors subscribe subscription teaser toolbar widget widgets".split()
 )
-SOFT = frozenset("article body container content entry has layout main no page post story text with without wrapper".split())
+# A label such as "no-sidebar" tells of the layout; an article is only dropped for a label that is one of the last words alone.
+LAYOUT = frozenset("has hide no with without".split())
+ARTICLE_LABELS = frozenset("ad advert comment comments promo related reply sponsored teaser".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -73,9 +75,15 @@ def furniture(tag: str, attributes: dict[str, str | None], in_article: bool) ->
     if (attributes.get("role") or "").lower() in ROLES:
         return True
     for label in f"{attributes.get('class') or ''} {attributes.get('id') or ''}".split():
-        words = {w.lower() for w in _WORDS.findall(label)}
-        if words & LABELS and not words & SOFT:
-            return not (tag == "article" and not in_article and words <= {"related", "share", "header", "promo", "skip"})
+        words = [w.lower() for w in _WORDS.findall(label)]
+        if not words or LAYOUT & set(words):
+            continue
+        if tag == "article" and not in_article:
+            if len(words) == 1 and words[0] in ARTICLE_LABELS:
+                return True
+        elif words[0] in LABELS or words[-1] in LABELS:
+            if not (in_article and "header" in (words[0], words[-1])):
+                return True
     return False
 
 

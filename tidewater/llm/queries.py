@@ -42,7 +42,7 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dedup.near_duplicates(load_table(spark, folder, "documents"))
+    return near_dedup.near_duplicates(load_table(spark, folder, "documents"), width=4)
 
 
 @register
