@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewater import operators as op
 from tidewater.functions import exact_sum
 from tidewater.sources import load_table
-from tidewater.streaming import LateSplitter, apply_stateful, drain, start_durable
+from tidewater.streaming import LateSplitter, LateWindows, apply_stateful, drain, start_durable
 from tidewater.streaming import processors as p
 from tidewater.streaming import windows as sw
 from tidewater.session import ship_package
@@ -393,3 +393,30 @@ def test_match_sequence_with_rows_of_a_later_batch(spark, events, tmp_path):
     want = op.match_sequence(rows, ["user_id"], ["ts", "seq"], "ts", [F.expr(s) for s in steps], 24 * HOUR)
     want = want.select("user_id", F.unix_millis("first_ts").alias("first_ms"), F.unix_millis("last_ts").alias("last_ms"))
     same(got, want, ["user_id", "first_ms", "last_ms"])
+
+
+@pytest.mark.parametrize("cuts", [[0, 200, 210, 700], [0, 50, 51, 300, 620, 700]])
+def test_late_windows_equal_replay(spark, events, tmp_path, cuts):
+    """First firings, re-firings and rows aside, for sliding windows and any cut into micro-batches."""
+    arrival = (F.col("event_id") + (F.col("event_id") * 7919) % 50).alias("arrival")
+    rows = events.where("user_id <> -1").select("event_id", (F.col("user_id") % 3).alias("user_id"), F.unix_millis("ts").alias("ts_ms"), arrival)
+    end = rows.limit(1).selectExpr("10000L as event_id", "-1L as user_id", "4000000000000L as ts_ms", "10000L as arrival")
+    rows = rows.unionByName(end).cache()
+    folder, memory = str(tmp_path / "in"), str(tmp_path / "memory")
+    for low, high in zip(cuts, [*cuts[1:-1], 20_000]):
+        rows.where(f"arrival >= {low} and arrival < {high}").coalesce(1).write.mode("append").parquet(folder)
+
+    def sink(name):
+        return lambda df, batch_id: df.write.mode("overwrite").parquet(str(tmp_path / name / f"batch={batch_id}"))
+
+    order, value = ["arrival", "event_id"], F.col("event_id")
+    windows = LateWindows(["user_id"], "ts_ms", order, 3 * HOUR, HOUR, HOUR, HOUR, value, sink("fired"), sink("aside"), memory)
+    windows.keep = 2
+    read = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    drain(windows.attach(read), str(tmp_path / "cp"))
+    columns = ["user_id", "win_start_ms", "fire_no", "value"]
+    want = op.late_updates(rows, ["user_id"], "ts_ms", order, 3 * HOUR, HOUR, HOUR, value, slide_ms=HOUR)
+    same(spark.read.parquet(str(tmp_path / "fired")), want, columns)
+    aside = op.classify(rows, "ts_ms", order, 3 * HOUR, HOUR, HOUR, HOUR).where("lateness = 'side_output'")
+    same(spark.read.parquet(str(tmp_path / "aside")), aside, ["event_id", "user_id", "ts_ms"])
+    assert len(list((tmp_path / "memory" / "windows").iterdir())) == 2

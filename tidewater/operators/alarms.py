@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tidewater.functions.layout import layout
 from tidewater.operators.ordered import CHUNK, KeyedSequence, running_max
 from tidewater.operators.windows import floor_to
+from tidewater.session import checkpointed
 
 _WHOLE_KEY = -(2**63)
 
@@ -66,8 +67,10 @@ def no_drop_alarm(df: DataFrame, keys: list[str], ts: str, seq: str, value: str,
         blocks.select(*group, "_us", "_seq", "_v", "_tail")
         .repartition(*group)
         .sortWithinPartitions(*group, "_us", "_seq")
-        .mapInArrow(_walker(len(group), wait), schema)
+        .mapInArrow(_walker(len(group), wait, both=sequence.split), schema)
     )
+    if sequence.split:
+        walked = checkpointed(walked)  # read twice below: for the exits and for the alarms
     alarms = walked.where(F.col("alarm_us").isNotNull())
     if not sequence.split:
         return alarms.where(F.col("_entry") == 1).select(*keys, "alarm_us")
@@ -151,8 +154,11 @@ def _real_entries(walked: DataFrame, keys: list[str]) -> DataFrame:
     return chained.select(*keys, "_b_us", "_b_seq", F.pmod(start + turned, F.lit(2)).alias("_real"))
 
 
-def _walker(width: int, wait: int):
-    """A task function over rows sorted by block and time; keeps two (baseline, timer) states, never the rows."""
+def _walker(width: int, wait: int, both: bool):
+    """A task function over rows sorted by block and time; keeps one (baseline, timer) state, or one for each way into the
+    block, never the rows.
+    """
+    entries = (0, 1) if both else (1,)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, state, schema = None, None, None
@@ -162,10 +168,11 @@ def _walker(width: int, wait: int):
             # No later block: pending timers expire at the end of time, and nothing is handed on.
             if state is None:
                 return
-            for entry, (_, timer) in enumerate(state):
-                if timer is not None:
-                    out.append((*current, entry, None, timer))
-                out.append((*current, entry, 1, None))
+            for entry in entries:
+                if state[entry][1] is not None:
+                    out.append((*current, entry, None, state[entry][1]))
+                if both:
+                    out.append((*current, entry, 1, None))
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*out)) if out else [[] for _ in schema]
@@ -185,7 +192,7 @@ def _walker(width: int, wait: int):
                     close()
                     current, state = block, [(v, None), (v, t + wait)]
                     continue
-                for entry in (0, 1):
+                for entry in entries:
                     (baseline, timer), started = state[entry], 1
                     if timer is not None and t >= timer:
                         out.append((*current, entry, None, timer))
