@@ -77,7 +77,8 @@ def hot_keys(df: DataFrame, keys: list[str], looked_at: DataFrame | None = None)
 
     This only decides how rows are laid out over tasks. It therefore counts a share of the rows (``looked_at``, or a sample)
     in which a hot key still shows up about a thousand times: a key that is missed, or listed without need, costs time
-    but changes no result. All keys found are written to the checkpoint folder; the driver learns only whether there is one.
+    but changes no result. If there is one, all keys found are written to the checkpoint folder; the driver learns only
+    whether there is one.
     """
     spark = df.sparkSession
     share = hot_share(spark)
@@ -90,8 +91,7 @@ def hot_keys(df: DataFrame, keys: list[str], looked_at: DataFrame | None = None)
         .where(F.col("_rows") >= (least if share == 1.0 else int(0.8 * least * share)))
         .withColumn("_rows", (F.col("_rows") / F.lit(share)).cast("bigint"))
     )
-    found = checkpointed(found)
-    return found if found.take(1) else None
+    return checkpointed(found) if found.take(1) else None
 
 
 class KeyedSequence:

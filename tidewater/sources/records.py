@@ -14,10 +14,8 @@ from tidewater.functions.layout import layout
 SENSOR = layout("id string, ts bigint, vc double")
 LOGIN = layout("id string, ip string, state string, ts bigint")
 AD_CLICK = layout("userId bigint, adId bigint, province string, city string, timestamp bigint")
-MARKETING = layout("userId bigint, behavior string, channel string, timestamp bigint")
 ORDER = layout("orderId bigint, eventType string, txId string, eventTime bigint")
 RECEIPT = layout("txId string, payChannel string, eventTime bigint")
-USER_BEHAVIOR = layout("userId bigint, itemId bigint, categoryId int, behavior string, timestamp bigint")
 
 
 def read_lines(spark: SparkSession, path: str, stream: bool = False, files_per_batch: int | None = None) -> DataFrame:
