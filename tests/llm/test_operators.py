@@ -304,6 +304,18 @@ def test_neighbours(spark):
         assert got[q] == sorted(got[q], key=lambda x: (-x[1], x[0])) and len(got[q]) == 20
 
 
+def test_many_equal_vectors(spark):
+    """The nearest of a common vector are the smallest ids that hold it, whatever the window."""
+    rows = vectors(200) + [(k, [1.0] * 16, 0) for k in range(1000, 3000)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(5)
+    got = {}
+    for r in neighbours.nearest(table).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert len(got) == 10 + 100
+    for q in range(1000, 3000, 20):
+        assert got[q] == [k for k in range(1000, 1021) if k != q][:20]
+
+
 def test_few_neighbours(spark):
     table = spark.createDataFrame(vectors(6) + vectors(2), "vec_id long, embedding array<float>, label int")
     got = neighbours.nearest(table).collect()

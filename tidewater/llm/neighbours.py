@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.llm.common import durable
 
@@ -21,7 +22,7 @@ CURVES = 16
 #: Directions and bits of each; their product is the length of a key and must stay below 63.
 DIRECTIONS, BITS = 12, 5
 #: Rows that tell means and spreads, queries that tell the window, and the share of neighbours it must reach.
-FIT_ROWS = 20_000
+FIT_ROWS = 4_000
 PROBES = 100
 REACHED = 0.96
 #: Ranks that are scored in one task.
@@ -83,8 +84,13 @@ def _vectors(column: pa.Array) -> np.ndarray:
 
 
 def usable(table: DataFrame, id: str, vector: str) -> DataFrame:
-    """(vec_id, v): non-null ids and vectors without null or non-finite components, not zero, of the commonest length."""
-    rows = table.select(F.col(id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
+    """(vec_id, v): non-null ids and vectors without null or non-finite components, not zero, of the commonest length.
+
+    Components keep their type, so that floats are not shuffled as doubles; products are taken in double precision.
+    """
+    kind = table.schema[vector].dataType
+    wanted = "array<float>" if kind == T.ArrayType(T.FloatType(), kind.containsNull) else "array<double>"
+    rows = table.select(F.col(id).cast("long").alias("vec_id"), F.col(vector).cast(wanted).alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(~bad & F.exists("v", lambda x: x != 0))
@@ -188,24 +194,31 @@ def nearest(table: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
 
     Queries are the rows whose id is divisible by ``every``; all other rows with usable vectors are candidates. The score
     is the inner product of the original vectors in double precision; ties go to the smaller id. Null ids and null, zero,
-    non-finite or odd-sized vectors take no part. Rows that share an id are one candidate with its best score. With
+    non-finite or odd-sized vectors take no part. Rows that share an id count once, with the greatest vector. With
     fewer candidates than ``k`` all are returned; an empty table gives an empty table.
+
+    Equal vectors are searched once: of a vector's ids only the ``k + 1`` smallest can be among anyone's nearest.
     """
     spark = table.sparkSession
-    out = "query_id long, rank int, vec_id long, score double"
-    rows = durable(usable(table, id, vector), "vectors")
+    unique = durable(usable(table, id, vector).groupBy("vec_id").agg(F.max("v").alias("v")), "vectors")
+    kind = unique.schema["v"].dataType.simpleString()
+    smallest = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
+    listed = unique.withColumn("n", smallest).where(F.col("n") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    rows = durable(listed.select(F.col("ids")[0].alias("vec_id"), "v", "ids"), "distinct-vectors")
+    asking = unique.where(F.col("vec_id") % every == 0).withColumnRenamed("vec_id", "query_id")
+    asking = durable(asking.join(rows.select(F.col("vec_id").alias("own"), "v"), "v").select("query_id", "own"), "queries")
     total = rows.count()
     if not total:
-        return spark.createDataFrame([], out)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = rows.where(F.pmod(F.xxhash64(F.lit("fit"), "vec_id"), F.lit(total)) < FIT_ROWS).limit(2 * FIT_ROWS)
-    fit = np.array([r[0] for r in sample.select("v").collect()]) if total > 1 else np.array([rows.first()["v"]])
-    curves = spark.sparkContext.broadcast(Curves(fit if len(fit) else np.array([rows.first()["v"]])))
-    keyed = rows.mapInArrow(_keyed(curves), "curve int, key long, vec_id long, v array<double>")
+    fit = [r[0] for r in sample.select("v").collect()] or [rows.first()["v"]]
+    curves = spark.sparkContext.broadcast(Curves(np.array(fit, float)))
+    keyed = rows.select("vec_id", "v").mapInArrow(_keyed(curves), f"curve int, key long, vec_id long, v {kind}")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     numbered = durable(
         keyed.repartitionByRange(parts, "curve", "key", "vec_id")
         .sortWithinPartitions("curve", "key", "vec_id")
-        .mapInArrow(_numbered, "curve int, vec_id long, v array<double>, part long, local long"),
+        .mapInArrow(_numbered, f"curve int, vec_id long, v {kind}, part long, local long"),
         "curves",
     )
     # A range part holds a stretch of the curves one after the other, so there are at most ``parts + CURVES`` counts.
@@ -214,11 +227,11 @@ def nearest(table: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
     offsets = counts.select("curve", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
     ranked = numbered.join(F.broadcast(offsets), ["curve", "part"]).select("curve", "vec_id", "v", (F.col("local") + F.col("earlier")).alias("rank"))
 
-    window = _window(spark, rows, ranked, k, every, total)
-    queries = ranked.where(F.col("vec_id") % every == 0)
+    searching = durable(asking.select(F.col("own").alias("vec_id")).distinct(), "searching")
+    window = _window(spark, rows, searching, ranked, k, total)
     last = F.lit((total - 1) // SEGMENT)
     reach = F.sequence(F.greatest(F.floor((F.col("rank") - window) / SEGMENT), F.lit(0)), F.least(F.floor((F.col("rank") + window) / SEGMENT), last))
-    asked = queries.withColumn("segment", F.explode(reach))
+    asked = ranked.join(searching, "vec_id", "left_semi").withColumn("segment", F.explode(reach))
     held = ranked.select(*(F.col(c).alias(c) for c in ("curve", "vec_id", "v", "rank"))).withColumn("segment", F.floor(F.col("rank") / SEGMENT))
     found = (
         asked.alias("asked").groupBy("curve", "segment")
@@ -226,19 +239,29 @@ def nearest(table: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
         .applyInArrow(_scored(window, k), "query_id long, vec_id long, score double")
     )
     merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return merged.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    merged = merged.withColumn("place", _place("query_id")).where(F.col("place") <= k).drop("place")
+    square = F.aggregate("v", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
+    itself = rows.join(searching, "vec_id", "left_semi").where(F.size("ids") > 1).select(F.col("vec_id").alias("query_id"), "vec_id", square.alias("score"))
+    copies = rows.select("vec_id", F.explode("ids").alias("id"))
+    expanded = merged.union(itself).join(copies, "vec_id").select(F.col("query_id").alias("own"), F.col("id").alias("vec_id"), "score")
+    expanded = durable(expanded.withColumn("place", _place("own")).where(F.col("place") <= k + 1).drop("place"), "found")
+    answers = asking.join(expanded, "own").where("vec_id != query_id").withColumn("rank", _place("query_id"))
+    return answers.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _place(group: str):
+    return F.row_number().over(Window.partitionBy(group).orderBy(F.desc("score"), "vec_id"))
 
 
-def _window(spark, rows: DataFrame, ranked: DataFrame, k: int, every: int, total: int) -> int:
+def _window(spark, rows: DataFrame, searching: DataFrame, ranked: DataFrame, k: int, total: int) -> int:
     """The ranks to look at on either side, from the exact neighbours of at most ``PROBES`` queries."""
-    probes = rows.where(F.col("vec_id") % every == 0).orderBy(F.xxhash64(F.lit("probe"), "vec_id"), "vec_id").limit(PROBES).collect()
+    chosen = searching.orderBy(F.xxhash64(F.lit("probe"), "vec_id"), "vec_id").limit(PROBES)
+    probes = rows.join(F.broadcast(chosen), "vec_id").select("vec_id", "v").collect()
     if not probes:
         return 0
-    shared = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in probes]), np.array([r["v"] for r in probes])))
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    truth = rows.mapInArrow(_exact(shared, k), "query_id long, vec_id long, score double").dropDuplicates(["query_id", "vec_id"])
-    truth = durable(truth.withColumn("place", place).where(F.col("place") <= k).select("query_id", "vec_id"), "truth")
+    shared = spark.sparkContext.broadcast((np.array([r["vec_id"] for r in probes]), np.array([r["v"] for r in probes], float)))
+    truth = rows.select("vec_id", "v").mapInArrow(_exact(shared, k), "query_id long, vec_id long, score double")
+    truth = durable(truth.withColumn("place", _place("query_id")).where(F.col("place") <= k).select("query_id", "vec_id"), "truth")
     wanted = truth.select("vec_id").union(truth.select("query_id")).distinct()  # at most PROBES * (k + 1) ids
     spots = durable(ranked.select("curve", "vec_id", "rank").join(F.broadcast(wanted), "vec_id"), "spots")
     own = spots.select(F.col("vec_id").alias("query_id"), "curve", F.col("rank").alias("own"))
