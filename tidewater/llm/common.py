@@ -32,7 +32,16 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch(spark)}/{label}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables written by ``durable`` that no result still to be computed reads."""
+    for table in tables:
+        system, path = _hadoop(table.sparkSession, table.scratch_path)
+        system.delete(path, True)
 
 
 def scratch(spark: SparkSession) -> str:

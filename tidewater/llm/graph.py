@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import durable
+from tidewater.llm.common import discard, durable
+
+#: Rounds shrink the graph; their tables have about so many edges in a file.
+EDGES_A_FILE = 500_000
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root) for every node of an edge; root is the least node of its component.
+    """(node, root) for every node of an edge, as a durable table; root is the least node of its component.
 
     Each round points all larger neighbours of a node at its least neighbour, then all smaller ones; rounds grow with the
     logarithm of the longest path. Nothing but a count and a checksum of the edges reaches the driver.
@@ -18,6 +21,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = durable(edges, "edges")
     before = _fingerprint(edges)
     while before[0]:
+        files = -(-before[0] // EDGES_A_FILE)
         both = edges.select(F.col("high").alias("u"), F.col("low").alias("v")).union(edges.select("low", "high"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("low"), F.col("v").alias("high"))
@@ -25,13 +29,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("high").agg(F.min("low").alias("m"))
         small = large.join(least, "high").select("m", "low", "high")
         small = small.select(F.col("m").alias("low"), F.explode(F.array("low", "high")).alias("high"))
-        edges = durable(small.where("low < high").distinct(), "edges")
-        after = _fingerprint(edges)
+        contracted = durable(small.where("low < high").distinct().coalesce(files), "edges")
+        discard(edges)
+        edges, after = contracted, _fingerprint(contracted)
         if after == before:
             break
         before = after
     roots = edges.groupBy("high").agg(F.min("low").alias("root")).select(F.col("high").alias("node"), "root")
-    return roots.union(edges.select("low", F.col("low").alias("root")).distinct())
+    out = durable(roots.union(edges.select("low", F.col("low").alias("root")).distinct()), "roots")
+    discard(edges)
+    return out
 
 
 def _fingerprint(edges: DataFrame) -> tuple:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import VISIBLE, Words, byte_column, chunks, combined, durable, owners, spread
+from tidewater.llm.common import VISIBLE, Words, byte_column, chunks, combined, discard, durable, owners, spread
 from tidewater.llm.graph import components
 
 #: A prime, so that steps through the registers visit each once.
@@ -29,8 +29,9 @@ BASE = 1.001
 TOP = 65534
 #: A pair is dropped unseen if its registers are e**8 times likelier at some similarity below the bound.
 EVIDENCE = 8.0
-#: Members of a block of a bucket (a tile is two blocks), and members compared with one copy of a bucket's leader.
+#: Members and shingles of a block of a bucket (a tile is two blocks), and members compared with one copy of a bucket's leader.
 TILE = 512
+TILE_SHINGLES = 2_000_000
 PART = 128
 _COLUMNS = 4096
 
@@ -276,6 +277,14 @@ def _linked(width: int, percent: int):
     return run
 
 
+def _between_roots(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """The links with every end replaced by the root of its component, where it has one."""
+    for end in ("a", "b"):
+        own = roots.select(F.col("node").alias(end), F.col("root").alias("_root"))
+        links = links.join(own, end, "left").withColumn(end, F.coalesce("_root", end)).drop("_root")
+    return links
+
+
 def near_duplicates(
     docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -324,15 +333,24 @@ def near_duplicates(
     texts = durable(
         source.select("text_key", "text").join(wanted, "text_key").groupBy("key").agg(F.first("text").alias("text")), "texts"
     )
+    discard(leaders)
     links = durable(_confirmed(likely, texts, width, percent), "links")
-    roots = durable(components(links), "roots")
+    roots = components(links)
+    discard(likely, links)
 
     located = buckets.where("n > 2").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    mixed = located.groupBy("band").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("band")
+    sizes = classes.select("key", "n_shingles")
+    mixed = (
+        located.join(sizes, "key")
+        .groupBy("band")
+        .agg(F.min("root").alias("r"), F.max("root").alias("s"), F.sum("n_shingles").alias("size"))
+        .where("r != s")
+        .select("band", "size")
+    )
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tiles = (
         located.join(mixed, "band")
-        .withColumn("blocks", F.ceil(F.col("n") / TILE).cast("int"))
+        .withColumn("blocks", F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("size") / TILE_SHINGLES)).cast("int"))
         .withColumn("block", F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "key", "root", F.expr("key = leader").alias("leader"))
@@ -352,7 +370,13 @@ def near_duplicates(
         "links",
     )
     if more.take(1):
-        roots = durable(components(links.union(more)), "roots")
+        # Only components are joined here: the graph of their roots is small.
+        above = components(_between_roots(more, roots))
+        renamed = above.select(F.col("node").alias("root"), F.col("root").alias("top"))
+        joined = roots.join(renamed, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+        fresh = above.join(roots, "node", "left_anti")
+        roots = durable(joined.unionByName(fresh), "roots")
+    discard(classes, buckets, texts, flagged, more)
 
     rows = described.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     heads = durable(rows.where("key is not null").groupBy("root").agg(F.min("doc_id").alias("head")), "heads")
