@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
+from tidewater.llm.common import combined
 from tidewater.llm import decontamination, language, licenses, lines, near_dedup, neighbours, packing, pages, repeats, token_counts
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -100,6 +101,15 @@ def test_near_duplicate_groups_that_leaders_do_not_join(spark, monkeypatch):
     assert collected(near_dedup.near_duplicates(docs, width=4)) == sorted(brute.near_duplicates(pairs(docs)), key=repr)
 
 
+def test_orders_of_the_same_words_differ():
+    import itertools
+
+    draw = np.random.default_rng(3).integers(0, 2**63, 3, dtype=np.uint64)
+    for width in (2, 3, 4, 5):
+        runs = list(itertools.product(range(3), repeat=width))
+        assert len({int(combined(draw[list(r)], width)[0]) for r in runs}) == len(runs)
+
+
 def test_sketches_merge_and_estimate():
     draw = np.random.default_rng(8)
     a, b = draw.integers(0, 2**63, (2, 3000), dtype=np.uint64)

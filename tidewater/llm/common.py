@@ -184,6 +184,7 @@ def combined(hashes: np.ndarray, width: int) -> np.ndarray:
     n = len(hashes) - width + 1
     total = np.zeros(max(n, 0), np.uint64)
     if n > 0:
-        for k in range(width):
-            total += hashes[k : k + n] * np.uint64(0x9E3779B97F4A7C15 + 2 * (0x3C6EF372FE94F82B * (k + 1) % 2**61))
+        # Factors without any linear relation: evenly spaced ones would give "a b b a" and "b a a b" one hash.
+        for k, factor in enumerate(spread(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)):
+            total += hashes[k : k + n] * factor
     return spread(total + np.uint64(width))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.llm.common import spread
+
 #: Orders of the n-grams, and buckets of each order.
 ORDERS = (1, 2, 3)
 BUCKET_BITS = 15
@@ -19,7 +21,7 @@ SMOOTHING = 0.5
 UNKNOWN = "und"
 
 _CHUNK = 1 << 19
-_FACTORS = (np.arange(1, 9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+_FACTORS = spread(np.arange(1, 1 + max(ORDERS), dtype=np.uint64)) | np.uint64(1)
 
 
 def held_out(id: str | Column) -> Column:
