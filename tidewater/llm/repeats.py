@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import Rolling, byte_column, chunks, durable, owners
+from tidewater.llm.common import Rolling, byte_column, chunks, discard, durable, owners
 
 LENGTH = 200
 ANCHOR = 32
@@ -243,17 +243,20 @@ def _kept(batches):
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, group: int = GROUP) -> DataFrame:
-    """(key, spans) for every distinct text with repeated bytes; ``key`` is its MD5, spans are byte ranges, maybe overlapping."""
+    """(key, spans) for every distinct text with repeated bytes, as a durable table; ``key`` is its MD5, spans are byte ranges,
+    maybe overlapping."""
     anchor = min(ANCHOR, length)
     source = _keyed(docs, text)
     found = durable(
         source.mapInArrow(_find(length, anchor), "key binary, anchor long, context long, at long, low long, high long"), "anchors"
     )
-    shared = (
+    # Written, so that the join below sees two plain exchanges and can split the partition of a hot anchor.
+    shared = durable(
         found.groupBy("anchor")
         .agg(F.count("*").alias("times"), F.min("context").alias("least"), F.max("context").alias("most"))
         .where("times > 1")
-        .select("anchor", (F.col("least") == F.col("most")).alias("alike"))
+        .select("anchor", (F.col("least") == F.col("most")).alias("alike")),
+        "shared",
     )
     repeated = durable(found.join(shared, "anchor"), "repeated")
     mixed = repeated.where("not alike")
@@ -285,7 +288,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
     spans = spans.union(
         stretches.select("key", F.struct((F.col("at") + F.col("s.begin")).alias("begin"), (F.col("at") + F.col("s.end")).alias("end")))
     )
-    return spans.groupBy("key").agg(F.collect_set("s").alias("spans"))
+    done = durable(spans.groupBy("key").agg(F.collect_set("s").alias("spans")), "spans")
+    discard(found, shared, repeated, contexts)
+    return done
 
 
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
@@ -305,7 +310,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", leng
     ``length`` keep all. Repeated rows are copies of each other, so they lose everything from ``length`` bytes on. ``spans``
     are the removed byte ranges, unordered and maybe overlapping. An empty table gives an empty table.
     """
-    spans = durable(repeated_spans(docs, text, length, group), "spans")
+    spans = repeated_spans(docs, text, length, group)
     source = _keyed(docs, text)
     judged = (
         _distinct(source)
