@@ -53,7 +53,8 @@ def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source"
     bad = durable(boilerplate(docs, text, site, sites), "boilerplate")
     keyed = docs.withColumn("_text", F.unhex(F.md5(F.col(text))))
     carried = keyed.select("_text", F.explode(F.array_distinct(_keys(F.col(text)))).alias("line"))
-    drops = carried.join(bad, "line").groupBy("_text").agg(F.collect_set("line").alias("_drop"))
+    # Written, so that the join below sees two plain exchanges and can split the partition of a text with many copies.
+    drops = durable(carried.join(bad, "line").groupBy("_text").agg(F.collect_set("line").alias("_drop")), "drops")
     lines = F.split(F.col(text), "\n")
     kept = F.filter(
         lines, lambda line: (line_key(line) == "") | ~F.array_contains(F.col("_drop"), F.unhex(F.md5(line_key(line))))
