@@ -23,14 +23,15 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while before[0]:
         files = -(-before[0] // EDGES_A_FILE)
         both = edges.select(F.col("high").alias("u"), F.col("low").alias("v")).union(edges.select("low", "high"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # The least neighbours are written, so that the joins see two plain exchanges and can split the neighbours of a hub.
+        least = durable(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(files), "least")
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("low"), F.col("v").alias("high"))
-        large = large.where("low < high").distinct()
-        least = large.groupBy("high").agg(F.min("low").alias("m"))
-        small = large.join(least, "high").select("m", "low", "high")
+        large = durable(large.where("low < high").distinct().coalesce(files), "edges")
+        lower = durable(large.groupBy("high").agg(F.min("low").alias("m")).coalesce(files), "least")
+        small = large.join(lower, "high").select("m", "low", "high")
         small = small.select(F.col("m").alias("low"), F.explode(F.array("low", "high")).alias("high"))
         contracted = durable(small.where("low < high").distinct().coalesce(files), "edges")
-        discard(edges)
+        discard(edges, large, least, lower)
         edges, after = contracted, _fingerprint(contracted)
         if after == before:
             break
