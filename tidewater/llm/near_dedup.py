@@ -340,12 +340,13 @@ def near_duplicates(
 
     located = buckets.where("n > 2").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     sizes = classes.select("key", "n_shingles")
-    mixed = (
+    mixed = durable(
         located.join(sizes, "key")
         .groupBy("band")
         .agg(F.min("root").alias("r"), F.max("root").alias("s"), F.sum("n_shingles").alias("size"))
         .where("r != s")
-        .select("band", "size")
+        .select("band", "size"),
+        "mixed",
     )
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tiles = (
@@ -376,7 +377,7 @@ def near_duplicates(
         joined = roots.join(renamed, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
         fresh = above.join(roots, "node", "left_anti")
         roots = durable(joined.unionByName(fresh), "roots")
-    discard(classes, buckets, texts, flagged, more)
+    discard(classes, buckets, mixed, texts, flagged, more)
 
     rows = described.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     heads = durable(rows.where("key is not null").groupBy("root").agg(F.min("doc_id").alias("head")), "heads")
