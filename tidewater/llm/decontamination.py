@@ -7,7 +7,6 @@ decides. Many stretches of text walk side by side in numpy.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -201,7 +200,3 @@ def _merged(ranges: list[tuple[int, int]]) -> list[dict]:
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs, with the columns of ``docs``."""
     return mark_hits(docs, benchmark, text).where("n_hit = 0").select(*(F.col(f"`{c}`") for c in docs.columns))
-
-
-def digest(items: str) -> str:
-    return hashlib.sha256(items.encode()).hexdigest()
