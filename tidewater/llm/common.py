@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tidewater.session import shared_folder
 
 #: Bytes of text that one numpy pass holds; several arrays of eight bytes a byte exist at a time.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 _BYTE_CODES = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)

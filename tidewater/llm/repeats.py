@@ -25,7 +25,7 @@ ANCHOR = 32
 #: Distinct contexts of one anchor that are ordered in one task; larger groups are counted window by window instead.
 GROUP = 20_000
 #: Contexts ordered at once, and bytes of them held at once.
-BATCH = 30_000
+BATCH = 15_000
 
 _ABSENT = 256
 
@@ -271,7 +271,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
         .mapInArrow(_cut_contexts(length), "anchor long, context long, n long, before long, bytes binary"),
         "contexts",
     )
-    sizes = contexts.groupBy("anchor").agg(F.count("*").alias("size"))
+    sizes = durable(contexts.groupBy("anchor").agg(F.count("*").alias("size")), "sizes")
     small = contexts.join(sizes.where(F.col("size") <= group), "anchor").drop("size")
     large = contexts.join(sizes.where(F.col("size") > group), "anchor").drop("size")
     ordered = small.repartition("anchor").sortWithinPartitions("anchor", "context").mapInArrow(_ordered(length, anchor), _FOUND)
@@ -289,7 +289,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH, gr
         stretches.select("key", F.struct((F.col("at") + F.col("s.begin")).alias("begin"), (F.col("at") + F.col("s.end")).alias("end")))
     )
     done = durable(spans.groupBy("key").agg(F.collect_set("s").alias("spans")), "spans")
-    discard(found, shared, repeated, contexts)
+    discard(found, shared, repeated, contexts, sizes)
     return done
 
 
