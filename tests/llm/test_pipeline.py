@@ -77,3 +77,22 @@ def test_empty_documents(spark, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_one_of_many_copies_stays_whole(spark, tmp_path):
+    menu = "home about contact imprint"
+    out = [(k, f"{menu}\n{prose(60, k, 'etaoinshr')}", "en", f"site{k}", 0, "x", 1) for k in range(20)]
+    exact = [prose(30, 300 + k, "etaoinshr") for k in range(6)]
+    near = [prose(30, 320 + k, "etaoinshr") for k in range(8)]
+    out += [(100 + k, "\n".join([menu, *exact]), "en", f"site{k}", 0, "x", 1) for k in range(15)]
+    for k in range(15):
+        # The third line of every copy has a word of its own.
+        edited = [*near[:2], near[2] + " " + prose(1, 400 + k, "etaoinshr"), *near[3:]]
+        out.append((200 + k, "\n".join(edited), "en", f"site{k}", 0, "x", 1))
+    docs = spark.createDataFrame(out, COLUMNS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in got) == [*range(20), 100, 200]
+    want = [(k, text.split("\n", 1)[1]) for k, text, *_ in out[:20]] + [(100, "\n".join(exact)), (200, out[35][1])]
+    assert sorted(tuple(r)[:5] for r in got) == sorted(brute.pieces(want))

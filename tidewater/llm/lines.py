@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import durable
+from tidewater.llm.common import discard, durable
+from tidewater.llm.near_dedup import near_duplicates
 
 #: Sites from which on a line is boilerplate.
 SITES = 10
@@ -42,15 +43,40 @@ def _keys(text: Column) -> Column:
     return F.transform(trimmed, lambda line: F.unhex(F.md5(line)))
 
 
-def remove_boilerplate(docs: DataFrame, text: str = "text", site: str = "source", sites: int = SITES) -> DataFrame:
+def independent(docs: DataFrame, found: DataFrame, text: str = "text", site: str = "source", sites: int = SITES) -> DataFrame:
+    """(line): those of ``found`` that ``sites`` or more different texts carry; near-duplicates count as one text.
+
+    The others spread only with copies of a few texts. Texts are near-duplicates as they are for ``near_duplicates``.
+    """
+    keyed = docs.where(F.col(site).isNotNull()).select(F.unhex(F.md5(F.col(text))).alias("copy"), F.col(text).alias("text"))
+    carried = durable(
+        keyed.select("copy", F.explode(F.array_distinct(_keys(F.col("text")))).alias("line")).join(found, "line").distinct(), "carried"
+    )
+    often = durable(carried.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= sites).select("line"), "often")
+    carried_often = durable(carried.join(often, "line"), "carried")
+    copies = durable(carried_often.select("copy").distinct(), "copies")
+    discard(carried, often)
+    near = near_duplicates(keyed.join(copies, "copy", "left_semi"), id="copy")
+    groups = durable(near.select(F.col("doc_id").alias("copy"), F.col("component_id").alias("group")).distinct(), "groups")
+    discard(copies)
+    spread = carried_often.join(groups, "copy").select("line", "group").distinct()
+    return spread.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= sites).select("line")
+
+
+def remove_boilerplate(
+    docs: DataFrame, text: str = "text", site: str = "source", sites: int = SITES, merge_copies: bool = False
+) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``; ``n_lines`` and ``n_removed`` are added.
 
     Lines end at a newline. A line goes wherever it occurs, in every repetition, if its trimmed form is boilerplate;
     the others stay as they are, empty ones included. Null texts stay null with 0 lines. A document of boilerplate
-    alone keeps its row with an empty text. Input columns named like the added ones are replaced.
+    alone keeps its row with an empty text. Input columns named like the added ones are replaced. With ``merge_copies``
+    a line that spread only with copies of a text, exact or near, is no boilerplate (see ``independent``).
     """
     docs = docs.drop("n_lines", "n_removed")
     bad = durable(boilerplate(docs, text, site, sites), "boilerplate")
+    if merge_copies:
+        bad = durable(independent(docs, bad, text, site, sites), "boilerplate")
     keyed = docs.withColumn("_text", F.unhex(F.md5(F.col(text))))
     carried = keyed.select("_text", F.explode(F.array_distinct(_keys(F.col(text)))).alias("line"))
     # Written, so that the join below sees two plain exchanges and can split the partition of a text with many copies.

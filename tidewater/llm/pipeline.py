@@ -30,10 +30,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes boilerplate lines out of the texts; ``n_chars`` follows. Documents stay, even with an empty text."""
+    """Takes boilerplate lines out of the texts; ``n_chars`` follows. Documents stay, even with an empty text.
+
+    Lines that spread only with copies of one text stay: the next stage keeps one of the copies.
+    """
     ship_package(spark)
     names = docs.columns
-    cleaned = lines.remove_boilerplate(docs)
+    cleaned = lines.remove_boilerplate(docs, merge_copies=True)
     return cleaned.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in names))
 
 
