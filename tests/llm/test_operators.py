@@ -263,6 +263,28 @@ def test_labels_of_the_layout(label):
     assert pages.main_text(f'<body><article class="{label}"><div class="entry-header"><h1>Head</h1></div><p>Text.</p></article></body>') == "Head\nText."
 
 
+MENU = '<div class="top"><a href=/>Home</a> <a href=/a>About</a></div><ul><li><a href=/b>News</a></li><li><a href=/c>Shop</a></li></ul>'
+LONG = "A sentence of the article that is long enough to be content on its own, and it goes on and on. " * 4
+
+
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        (f"<div class=post><h1>Title</h1><div class=entry><p>{LONG}</p><p>{LONG}</p></div></div>", ["Title", LONG, LONG]),
+        (f"<div class=post><h2><a href=/t>Title</a></h2><div><div><p>{LONG}</p></div></div></div>", ["Title", LONG]),
+        (f"<div><p>An introduction.</p><section><p>{LONG}</p><p>{LONG}</p></section></div>", ["An introduction.", LONG, LONG]),
+        (f"<div><div>One line of prose ahead of the long table.</div><table><tr><td>{LONG}</td></tr></table></div>", ["One line of prose ahead of the long table.", LONG]),
+        (f"<div><div><div><p>{LONG}</p></div><p>Short end.</p></div><h3>Notes</h3></div>", [LONG, "Short end.", "Notes"]),
+        (f"<div><p>{LONG}</p><p><a href=/r>Smith 2020</a></p><p>{LONG}</p></div>", [LONG, "Smith 2020", LONG]),
+        (f"<div><p>{LONG}</p><ul><li><a href=/r>A reference with quite a long title</a><li><a href=/s>Another reference with a long title</a></ul></div>", [LONG, "A reference with quite a long title", "Another reference with a long title"]),
+        (f"<main><h1>Title</h1><article><p>{LONG}</p><p>{LONG}</p></article></main>", ["Title", LONG, LONG]),
+    ],
+)
+def test_main_text_keeps_content_beside_the_heaviest_part(body, want):
+    page = f"<html><body>{MENU}{body}<div><a href=/x>A linked headline of another page</a><a href=/y>One more headline of another page</a></div></body></html>"
+    assert pages.main_text(page) == "\n".join(w.strip() for w in want)
+
+
 def test_odd_pages(spark):
     cut = PAGE.split("</style>")[0]
     html = [None, "", "plain words", "<article><p>open", "<article><p>cut <b", cut, "<nav><ul><li>menu<article><p>in</article>", "<p>a</p>" * 3000, "<div>" * 3000 + "deep"]

@@ -2,7 +2,8 @@
 
 The standard library's parser yields events; blocks of text become lines with their number of characters and tags.
 Elements whose role, name or label marks them as furniture contribute nothing. The ratio of text to tags of the lines is
-smoothed with a Gaussian and split into two clusters; the container that holds the content lines is the region to keep.
+smoothed with a Gaussian and split into two clusters; the smallest container outside of which no content is left is the
+region to keep. Content is the upper cluster and, whatever their ratio, headings and prose.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ from pyspark.sql import functions as F
 
 #: Width of the Gaussian in lines, and how many widths its kernel reaches.
 SIGMA, REACH = 1.5, 3
-#: A region may be narrowed to a part of it that holds this share of the content.
-SHARE = 0.7
-#: A line is a menu outside of articles if so much of it is link text.
+#: A line consists of links if so much of it is link text.
 LINKED = 0.6
+#: Links of a menu have fewer characters than this on average.
+MENU = 25
+#: Text that stands in no block of prose counts as prose from so many words on.
+PROSE = 8
 
 # Element names of HTML and words that label page furniture.
 BLOCKS = frozenset(
@@ -46,6 +49,7 @@ LABELS = frozenset(
 LAYOUT = frozenset("has hide no with without".split())
 ARTICLE_LABELS = frozenset("ad advert comment comments promo related reply sponsored teaser".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PARAGRAPHS = frozenset("blockquote caption dd dt figcaption li p pre".split())
 
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*\Z")
@@ -53,14 +57,25 @@ _CUT_TAG = re.compile(r"<[A-Za-z/!][^<>]*\Z")
 
 @dataclass
 class Line:
-    """A block: its text, the tags since the block before, characters inside links, and the regions around it."""
+    """A block: its text, the tags since the block before, links and characters inside them, its kind, and the regions around it."""
 
     parts: list[str] = field(default_factory=list)
     tags: int = 0
+    links: int = 0
     linked: int = 0
+    heading: bool = False
+    paragraph: bool = False
     regions: tuple[int, ...] = ()
     text: str = ""
 
+    @property
+    def of_links(self) -> bool:
+        return self.linked >= LINKED * len(self.text)
+
+    @property
+    def prose(self) -> bool:
+        return not self.of_links and (self.paragraph or len(self.text.split()) >= PROSE)
+
 
 def furniture(tag: str, attributes: dict[str, str | None], in_article: bool) -> bool:
     """Whether an element and all it holds is no part of the main text."""
@@ -125,6 +140,7 @@ class LineReader(HTMLParser):
         self.dropped += drop
         self.articles += tag == "article"
         self.links += tag == "a"
+        self.lines[-1].links += tag == "a"
         self.header += tag == "header"
         self.headings += tag in HEADINGS
 
@@ -145,8 +161,12 @@ class LineReader(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.dropped and not (self.header and not self.headings):
             self._text(data)
+            line = self.lines[-1]
+            if data.strip():
+                line.heading |= self.headings > 0
+                line.paragraph |= next((tag for tag, _, _ in reversed(self.open) if tag in BLOCKS), "") in PARAGRAPHS
             if self.links:
-                self.lines[-1].linked += len(data.strip())
+                line.linked += len(data.strip())
 
     def _text(self, data: str) -> None:
         line = self.lines[-1]
@@ -220,15 +240,39 @@ def main_text(html: str | None) -> str:
     sizes = np.array([len(line.text) for line in lines], float)
     ratios = sizes / np.array([max(1, line.tags) for line in lines])
     weights = np.where(content_lines(ratios), sizes, 0.0)
+    content = [line.heading or line.prose or (weight > 0 and not line.of_links) for line, weight in zip(lines, weights)]
     within: dict[int, float] = {}
-    for line, weight in zip(lines, weights):
+    held: dict[int, int] = {}
+    for line, weight, counts in zip(lines, weights, content):
         for region in line.regions:
             within[region] = within.get(region, 0.0) + weight
-    region = _region(regions, within)
-    inside = [line for line in lines if region in line.regions]
+            held[region] = held.get(region, 0) + counts
+    region = _region(regions, within, held)
+    inside = [k for k, line in enumerate(lines) if region in line.regions]
     if not _semantic(regions, region):
-        inside = [line for line in inside if line.linked < LINKED * len(line.text)]
-    return "\n".join(line.text for line in inside)
+        menus = _menus([lines[k] for k in inside], [content[k] for k in inside], regions)
+        inside = [k for k, menu in zip(inside, menus) if not menu]
+    return "\n".join(lines[k].text for k in inside)
+
+
+def _menus(lines: list[Line], content: list[bool], regions: list[tuple[str, int]]) -> list[bool]:
+    """Which lines are menus: blocks of links apart from content, and short links other than a single one within content.
+
+    Headings and long links beside content, such as references, are none.
+    """
+    mixed = {line.regions[-1] for line in lines if line.heading or not line.of_links}
+    beside = {line.regions[-1] for line, counts in zip(lines, content) if counts}
+    out = []
+    for k, line in enumerate(lines):
+        region = line.regions[-1]
+        if line.heading or not line.of_links:
+            out.append(False)
+        elif region not in mixed and regions[region][1] not in beside:
+            out.append(True)
+        else:
+            single = line.links <= 1 and k > 0 and content[k - 1] and not (k + 1 < len(lines) and lines[k + 1].of_links)
+            out.append(line.linked < MENU * max(1, line.links) and not single)
+    return out
 
 
 def _semantic(regions: list[tuple[str, int]], region: int) -> bool:
@@ -239,21 +283,21 @@ def _semantic(regions: list[tuple[str, int]], region: int) -> bool:
     return False
 
 
-def _region(regions: list[tuple[str, int]], within: dict[int, float]) -> int:
-    """The article or main element with most content, else the deepest region that holds nearly all content of its parent."""
+def _region(regions: list[tuple[str, int]], within: dict[int, float], held: dict[int, int]) -> int:
+    """The article or main element with most content, else the deepest region outside of which there is no content line."""
     articles = [k for k in within if regions[k][0] == "article" and not _semantic(regions, regions[k][1])]
     nested = [k for k in within if regions[k][0] == "article" and k not in articles]
     mains = [k for k in within if regions[k][0] == "main"]
     for group in (articles, mains):
         if group:
             best = max(group, key=lambda k: (within[k], -k))
-            inner = [k for k in nested if _under(regions, k, best) and within[k] >= SHARE * within[best] > 0]
+            inner = [k for k in nested if _under(regions, k, best) and held[k] == held[best] > 0]
             return max(inner, key=lambda k: (within[k], -k)) if inner and regions[best][0] == "main" else best
     region = 0
     while True:
         parts = [k for k in within if regions[k][1] == region]
-        best = max(parts, key=lambda k: (within[k], -k), default=None)
-        if best is None or within[best] < SHARE * within[region] or within[region] <= 0:
+        best = max(parts, key=lambda k: (held[k], -k), default=None)
+        if best is None or held[best] < held[region] or not held[region]:
             return region
         region = best
 
