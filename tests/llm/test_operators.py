@@ -314,6 +314,31 @@ def test_licenses(spark):
     assert got[0]["n_exact"] == 1 and got[106]["n_exact"] == 0
 
 
+def test_licenses_in_wrapped_and_long_lines(spark):
+    import textwrap
+
+    cases = []
+    for name, text in licenses.TEMPLATES.items():
+        name = name.removesuffix("-short")
+        for width in (25, 40, 72):
+            wrapped = "\n".join(f" * {line}" for line in textwrap.wrap(text, width))
+            cases.append((f"Some words.\n\n{wrapped}\n\nMore words.", 1, 1, name))
+        cases.append((f"{words(3000, 1)} {text} {words(3000, 2)}", 1, 1, name))
+    altered = licenses.TEMPLATES["MIT"].replace("obtaining a copy", "who obtains a copy")
+    cases += [
+        ("Released under the MIT License. All rights reserved.", 2, 2, "All-Rights-Reserved,MIT"),
+        ("Code: " + licenses.TEMPLATES["Apache-2.0"] + " Texts: Licensed under CC BY 4.0.", 2, 2, "Apache-2.0,CC-BY-4.0"),
+        ("\n".join(textwrap.wrap(altered, 30)) + "\nLicensed under CC BY-SA 4.0.", 2, 1, "CC-BY-SA-4.0,MIT"),
+        ("All rights reserved.\n" * 3, 3, 3, "All-Rights-Reserved"),
+        ("This work is licensed under the GNU General Public License, version 4.\n2 of them.", 0, 0, ""),
+        ("license " * 2000, 0, 0, ""),
+    ]
+    docs = spark.createDataFrame([(k, c[0]) for k, c in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r)[2:] for r in licenses.scan(docs).collect()}
+    for k, case in enumerate(cases):
+        assert got[k] == case[1:], case
+
+
 def vectors(n, size=16, seed=11):
     draw = np.random.default_rng(seed)
     return [(k, [float(x) for x in draw.standard_normal(size).astype(np.float32)], 0) for k in range(n)]
