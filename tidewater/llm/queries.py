@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontamination, language, licenses, lines, near_dedup, neighbours, packing, pages, repeats, token_counts
+from tidewater.llm import decontamination, language, licenses, lines, near_dedup, neighbours, packing, pages, repeats, sharding, token_counts
 from tidewater.session import ship_package
 from tidewater.sources import load_table
 
@@ -111,3 +111,11 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
     docs = load_table(spark, folder, "documents").select("doc_id", "text")
     return licenses.scan(docs).select("doc_id", "n_blocks", "n_exact", "licenses")
+
+
+@register
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard_texts(load_table(spark, folder, "documents"), ["doc_id"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
