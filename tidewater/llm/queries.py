@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontamination, language, licenses, lines, near_dedup, neighbours, packing, pages, repeats, sharding, token_counts
+from tidewater.llm import (
+    alignment,
+    conversations,
+    decontamination,
+    language,
+    licenses,
+    lines,
+    near_dedup,
+    neighbours,
+    packing,
+    pages,
+    repeats,
+    sharding,
+    token_counts,
+)
+from tidewater.llm.common import durable
 from tidewater.session import ship_package
 from tidewater.sources import load_table
 
@@ -119,3 +134,18 @@ def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+@register
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load_table(spark, folder, "documents").select("doc_id", "text")
+    aligned = durable(alignment.digest(alignment.align(docs)), "alignment-digest")
+    return alignment.score(aligned, alignment.pair_counts(aligned)).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
+@register
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    rows = load_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.report(rows, *conversations.repair(conversations.damage(rows)))
