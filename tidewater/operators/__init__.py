@@ -18,12 +18,12 @@ from tidewater.operators.late import (
     classify,
     late_updates,
     replay_watermark,
-    sessions_bounded,
     sliding_bounded,
     sliding_counts_with_late,
     tumbling_bounded,
 )
 from tidewater.operators.match import match_sequence, match_times
+from tidewater.operators.merging import merging_sessions, sessions_bounded
 from tidewater.operators.ordered import (
     KeyedSequence,
     running_count,
@@ -54,6 +54,7 @@ __all__ = [
     "max_record",
     "max_record_running",
     "no_drop_alarm",
+    "merging_sessions",
     "ordinal",
     "reconcile",
     "reduce_in_order",

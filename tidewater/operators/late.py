@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.operators.ordered import KeyedSequence, running_count, running_max, running_sum
-from tidewater.operators.windows import MERGE, floor_to, oldest_start, sessions, window_starts
+from tidewater.operators.windows import MERGE, floor_to, oldest_start, window_starts
 from tidewater.session import checkpointed
 
 ON_TIME, LATE, ASIDE = "on_time", "late_accepted", "side_output"
@@ -100,16 +100,6 @@ def sliding_bounded(
     return _open_windows(seen, keys, ts_ms, size_ms, slide_ms, 0, folds)
 
 
-def sessions_bounded(
-    df: DataFrame, keys: list[str], ts: str, order: list[str], gap_ms: int, delay_ms: int, **aggregates: Column
-) -> DataFrame:
-    """Sessions of the rows that were not late: a row is late if the watermark has reached the end of the session it
-    would form alone (``ts + gap - 1 ms``)."""
-    seen = replay_watermark(df.withColumn("_at", F.unix_millis(ts)), "_at", order, delay_ms)
-    alone = lateness_class(F.col("_at"), gap_ms, 0, F.col("wm_before"))
-    return sessions(seen.where(alone == ON_TIME).drop("_at", "wm_before"), keys, ts, gap_ms, **aggregates)
-
-
 def _open_windows(
     seen: DataFrame, keys: list[str], ts_ms: str, size_ms: int, slide_ms: int, lateness_ms: int, folds: dict[str, tuple[str, Column]]
 ) -> DataFrame:

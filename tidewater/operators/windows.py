@@ -67,15 +67,7 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap_ms: int, **aggregates:
     the sequence takes care of hot keys. The aggregation itself is an ordinary one.
     """
     data = df.where(F.col(ts).isNotNull()).withColumn("_us", F.unix_micros(ts))
-    if keys and hot_keys(data, keys) is None:
-        marked = _mark_sessions(data, keys, gap_ms, known_cold=True)
-    else:
-        # Any number of rows may share an instant, so order the distinct instants and bring the result back.
-        instants = data.select(*keys, "_us").distinct()
-        names = {k: f"_key_{i}" for i, k in enumerate(keys)}
-        starts = _mark_sessions(instants, keys, gap_ms).withColumnsRenamed({**names, "_us": "_at"})
-        same = [F.col("_us") == F.col("_at"), *[F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]]
-        marked = data.join(starts, same, "inner")
+    marked = mark_sessions(data, keys, gap_ms)
     done = marked.groupBy(*keys, "_start").agg(
         F.max("_us").alias("_last"), *[c.alias(n) for n, c in aggregates.items()]
     )
@@ -87,6 +79,18 @@ def sessions(df: DataFrame, keys: list[str], ts: str, gap_ms: int, **aggregates:
     )
 
 
+def mark_sessions(data: DataFrame, keys: list[str], gap_ms: int) -> DataFrame:
+    """Rows with ``_start``, the first instant (``_us``) of their session."""
+    if keys and hot_keys(data, keys) is None:
+        return _mark_sessions(data, keys, gap_ms, known_cold=True)
+    # Any number of rows may share an instant, so order the distinct instants and bring the result back.
+    instants = data.select(*keys, "_us").distinct()
+    names = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    starts = _mark_sessions(instants, keys, gap_ms).withColumnsRenamed({**names, "_us": "_at"})
+    same = [F.col("_us") == F.col("_at"), *[F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]]
+    return data.join(starts, same, "inner").drop("_at", *names.values())
+
+
 def _mark_sessions(data: DataFrame, keys: list[str], gap_ms: int, known_cold: bool = False) -> DataFrame:
     """Add ``_start``, the first instant of the row's session."""
     starts = F.when(F.col("_prev").isNull() | (F.col("_us") - F.col("_prev") > gap_ms * 1000), F.col("_us"))

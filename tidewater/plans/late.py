@@ -180,20 +180,82 @@ def et_sliding_bounded(t):
     return done.select("user_id", "win_start_ms", exact_value(F.col("units")).alias("total"), "n")
 
 
-@query(
-    f"""
-    with {_SEEN}, kept as (select * from seen where {_class_sql("ts_ms", 2 * HOUR, 0)} = 'on_time'),
-    marked as (
-        select *, case when ts_ms - lag(ts_ms) over (partition by user_id order by ts_ms, event_id) <= {2 * HOUR} then 0 else 1 end as fresh
-        from kept
-    ), numbered as (
-        select *, sum(fresh) over (partition by user_id order by ts_ms, event_id rows between unbounded preceding and current row) as s
-        from marked
+def _session_walk(gap: int, lateness: int) -> str:
+    """Row by row per user: the open sessions as a list, what each row makes fire, and whether it was dropped."""
+    end = f"{gap - 1}"
+    return f"""
+    with recursive {_SEEN}, numbered as (
+        select *, row_number() over (partition by user_id order by arrival, event_id) as rn,
+               count(*) over (partition by user_id) as last_rn
+        from seen
+    ), walk as (
+        select user_id, 0::bigint as rn, 0::bigint as event_id, 0::bigint as at_ms, false as dropped,
+               []::struct(s bigint, e bigint, f boolean, n bigint, units bigint)[] as open,
+               []::struct(s bigint, e bigint, f boolean, n bigint, units bigint)[] as fired
+        from (select distinct user_id from seen)
+        union all
+        select user_id, rn, event_id, ts_ms, dropped,
+               case when dropped then rest else list_append(rest, merged) end,
+               list_concat(due, case when now then [merged] else [] end)
+        from (
+            select *, not dropped and coalesce(merged.e + {end} <= wm_before, false) as now
+            from (
+                select *, len(met) = 0 and coalesce(ts_ms + {end} + {lateness} <= wm_before, false) as dropped,
+                       struct_pack(
+                           s := least(ts_ms, list_min(list_transform(met, lambda x: x.s))),
+                           e := greatest(ts_ms, list_max(list_transform(met, lambda x: x.e))),
+                           f := coalesce(greatest(ts_ms, list_max(list_transform(met, lambda x: x.e))) + {end} <= wm_before, false),
+                           n := 1 + coalesce(list_sum(list_transform(met, lambda x: x.n)), 0)::bigint,
+                           units := (value_units + coalesce(list_sum(list_transform(met, lambda x: x.units)), 0))::bigint
+                       ) as merged
+                from (
+                    select *, list_filter(held, lambda x: x.s <= ts_ms + {gap} and x.e + {gap} >= ts_ms) as met,
+                           list_filter(held, lambda x: not (x.s <= ts_ms + {gap} and x.e + {gap} >= ts_ms)) as rest
+                    from (
+                        select n.user_id, n.rn, n.event_id, n.ts_ms, n.wm_before, round(n.value * 100)::bigint as value_units,
+                               list_filter(w.open, lambda x: not x.f and coalesce(x.e + {end} <= n.wm_before, false)) as due,
+                               list_transform(
+                                   list_filter(w.open, lambda x: coalesce(x.e + {end} + {lateness} > n.wm_before, true)),
+                                   lambda x: struct_pack(s := x.s, e := x.e, f := x.f or coalesce(x.e + {end} <= n.wm_before, false), n := x.n, units := x.units)
+                               ) as held
+                        from walk w join numbered n on n.user_id = w.user_id and n.rn = w.rn + 1
+                    )
+                )
+            )
+        )
+    ), fires as (
+        select user_id, unnest(fired) as x from walk
+        union all
+        select w.user_id, unnest(list_filter(w.open, lambda x: not x.f)) as x
+        from walk w join numbered n on n.user_id = w.user_id and n.rn = w.rn and n.rn = n.last_rn
     )
-    select user_id, min(ts_ms) as session_start_ms, max(ts_ms) + {2 * HOUR} as session_end_ms, count(*) as n
-    from numbered group by user_id, s
     """
-)
+
+
+_FIRES = f"select user_id, x.s as session_start_ms, x.e + {2 * HOUR} as session_end_ms, x.n as n, x.units / 100.0::double as total from fires"
+
+
+def _sessions(t, lateness: int):
+    return op.merging_sessions(
+        _arrivals(t), ["user_id"], "ts_ms", _ORDER, 2 * HOUR, HOUR, lateness, n=("sum", F.lit(1).cast("bigint")), units=("sum", exact_units("value"))
+    )
+
+
+def _shown(firings):
+    return firings.select("user_id", "session_start_ms", "session_end_ms", "n", exact_value(F.col("units")).alias("total"))
+
+
+@query(_session_walk(2 * HOUR, 0) + _FIRES)
 def et_session_bounded(t):
-    rows = _arrivals(t).withColumn("ts", F.timestamp_millis("ts_ms"))
-    return op.sessions_bounded(rows, ["user_id"], "ts", _ORDER, 2 * HOUR, HOUR, n=F.count(F.lit(1)))
+    return _shown(_sessions(t, 0)[0])
+
+
+@query(_session_walk(2 * HOUR, HOUR // 2) + _FIRES)
+def session_updates(t):
+    """Every firing of merging sessions: the first, re-firings with late rows, sessions bridged after they had fired."""
+    return _shown(_sessions(t, HOUR // 2)[0])
+
+
+@query(_session_walk(2 * HOUR, HOUR // 2) + "select user_id, event_id, at_ms as ts_ms from walk where dropped")
+def session_late_aside(t):
+    return _sessions(t, HOUR // 2)[1].select("user_id", "event_id", "ts_ms")

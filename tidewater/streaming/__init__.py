@@ -1,5 +1,5 @@
-from tidewater.streaming.late import LateSplitter, LateWindows
+from tidewater.streaming.late import LateSessions, LateSplitter, LateWindows
 from tidewater.streaming.processors import apply_stateful
 from tidewater.streaming.running import drain, start_durable
 
-__all__ = ["LateSplitter", "LateWindows", "apply_stateful", "drain", "start_durable"]
+__all__ = ["LateSessions", "LateSplitter", "LateWindows", "apply_stateful", "drain", "start_durable"]

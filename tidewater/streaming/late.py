@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidewater.operators.late import ASIDE, LATE, ON_TIME, lateness_class
+from tidewater.operators.merging import ASIDE_ROW, FIRE, OPEN, walk
 from tidewater.operators.ordered import KeyedSequence, running_max, running_sum
 from tidewater.operators.windows import floor_to, window_starts
 from tidewater.session import checkpointed, remove_folder
@@ -149,3 +150,63 @@ class LateWindows(LateSplitter):
             self._remember(batch, before, batch_id)
         finally:
             batch.unpersist()
+
+
+class LateSessions(LateSplitter):
+    """Merging sessions with re-firings: what ``operators.merging_sessions`` gives, for any cut of the stream into micro-batches.
+
+    ``emit`` receives ``keys, session_start_ms, session_end_ms, folds`` for every firing, ``aside`` the dropped rows as ``keys, order, ts_ms``. Between
+    micro-batches only sessions that are still open are kept in ``memory``: those within the delay and lateness of the
+    watermark. ``folds`` are ``name=(kind, value)``.
+    """
+
+    def __init__(
+        self,
+        keys: list[str],
+        ts_ms: str,
+        order: list[str],
+        gap_ms: int,
+        delay_ms: int,
+        lateness_ms: int,
+        emit: Sink,
+        aside: Sink,
+        memory: str,
+        **folds: tuple[str, Column],
+    ):
+        super().__init__(ts_ms, order, gap_ms, gap_ms, delay_ms, lateness_ms, emit, aside, memory)
+        self.keys, self.folds = keys, folds
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = self._greatest_before(spark, batch_id)
+        batch = batch.where(F.col(self.ts_ms).isNotNull()).persist()
+        try:
+            values = {f"_fold_{name}": value for name, (_, value) in self.folds.items()}
+            kinds = [kind for kind, _ in self.folds.values()]
+            peak = F.greatest(F.max(self.ts_ms), F.lit(before).cast("bigint"))
+            reached = batch.agg(peak.alias("ms")).first()["ms"]
+            columns = list(dict.fromkeys([*self.keys, *self.order, self.ts_ms]))
+            rows = self._seen(batch, before).select(*columns, "wm_before", *[v.alias(n) for n, v in values.items()])
+            rows = rows.withColumn("_open", F.lit(False))
+            if batch_id:
+                held = spark.read.parquet(f"{self.memory}/sessions/batch={batch_id - 1}").withColumn("_open", F.lit(True))
+                rows = rows.unionByName(held, allowMissingColumns=True)
+            else:
+                rows = rows.withColumns({c: F.lit(None).cast(t) for c, t in (("_first", "bigint"), ("_last", "bigint"), ("_fired", "boolean"))})
+            until = None if reached is None else reached - self.delay - 1
+            rows = rows.withColumn("_until", F.lit(until).cast("bigint"))
+            told = walk(rows, self.keys, self.ts_ms, self.order, self.size, self.lateness, kinds, list(values), "_until")
+            told = checkpointed(told)
+            fired = told.where(F.col("_kind") == FIRE)
+            shown = [F.col(f"_fold_{name}").alias(name) for name in self.folds]
+            end = (F.col("_last") + F.lit(self.size)).alias("session_end_ms")
+            self.main(fired.select(*self.keys, F.col("_first").alias("session_start_ms"), end, *shown), batch_id)
+            extra = [c for c in self.order if c not in self.keys]
+            late = told.where(F.col("_kind") == ASIDE_ROW)
+            self.aside(late.select(*self.keys, *extra, F.col("_first").alias(self.ts_ms)), batch_id)
+            left = told.where(F.col("_kind") == OPEN).select(*self.keys, "_first", "_last", "_fired", *values)
+            left.write.mode("overwrite").parquet(f"{self.memory}/sessions/batch={batch_id}")
+            remove_folder(spark, f"{self.memory}/sessions/batch={batch_id - self.keep}")
+            self._remember(batch, before, batch_id)
+        finally:
+            batch.unpersist()
