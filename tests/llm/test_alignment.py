@@ -71,7 +71,7 @@ TEXTS = [
 
 
 def query(docs):
-    aligned = alignment.durable(alignment.digest(alignment.align(docs)), "test-alignment")
+    aligned = alignment.durable(alignment.align_digests(docs), "test-alignment")
     out = alignment.score(aligned, alignment.pair_counts(aligned))
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 

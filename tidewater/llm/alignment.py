@@ -12,10 +12,12 @@ own pairs for each block, so that no task and no broadcast holds more.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterable, Iterator
+import hashlib
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,7 +25,7 @@ from pyspark.sql import types as T
 from tidewater.llm.common import discard, durable
 
 #: Bytes of text that one numpy pass aligns; a longer text comes alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Driving tokens that one lane walks through.
 LANE = 32
 #: Pairs of ids whose counts are broadcast at a time (12 MB a million).
@@ -33,9 +35,6 @@ HELD = 1_000_000
 #: An id pair as one number: ``a * PAIR + b``.
 PAIR = 1 << 32
 
-ALIGNED = ["a_ids", "b_ids", "a_ends", "b_ends", "pairs", "pair_links"]
-
-
 class Tokenizers:
     """A: byte-level BPE of ``space + text``. B: sentencepiece of ``text``, which adds the space itself. With the bytes of every id."""
 
@@ -176,6 +175,28 @@ class Aligned:
         both, links = np.unique(docs * max(1, len(kinds)) + code, return_counts=True)
         return np.searchsorted(both, np.arange(len(self.a_first)) * max(1, len(kinds))), kinds[both % max(1, len(kinds))], links
 
+    def lines(self) -> tuple[bytes, np.ndarray]:
+        """(bytes, bounds of documents): ``a1,a2|b1;a3|b2,b3;`` for every document, with a mark behind the last group too."""
+        n_a, n_b = len(self.a), len(self.b)
+        ids, marks = np.zeros(n_a + n_b, np.int64), np.full(n_a + n_b, ord(","), np.uint8)
+        # A group's A ids stand behind the B ids of all groups before it, its B ids behind its A ids.
+        a_group = np.searchsorted(self.a_cut, np.arange(n_a), "right")
+        b_group = np.searchsorted(self.b_cut, np.arange(n_b), "right")
+        a_at = np.arange(n_a) + np.append(0, self.b_cut)[a_group]
+        b_at = np.arange(n_b) + np.append(self.a_cut, 0)[b_group]
+        ids[a_at], ids[b_at] = self.a, self.b
+        marks[a_at[self.a_cut - 1]] = ord("|")
+        marks[b_at[self.b_cut - 1]] = ord(";")
+        places = len(str(int(ids.max()))) if len(ids) else 1
+        digits = np.zeros((len(ids), places + 1), np.uint8)
+        shown = np.zeros(digits.shape, bool)
+        for place in range(places - 1, -1, -1):
+            digits[:, place] = ids % 10 + ord("0")
+            shown[:, place] = (ids > 0) | (place == places - 1)
+            ids //= 10
+        digits[:, places], shown[:, places] = marks, True
+        return digits[shown].tobytes(), np.append(0, np.cumsum(shown.sum(1)))[self.a_first + self.b_first]
+
 
 def align(docs: DataFrame, text: str = "text", a_path: str | None = None, b_path: str | None = None) -> DataFrame:
     """``docs`` without its text, with the alignment of each text added, replacing columns of these names:
@@ -185,37 +206,60 @@ def align(docs: DataFrame, text: str = "text", a_path: str | None = None, b_path
     tokenizer does not give back byte for byte, have empty arrays. Whole texts are tokenized, long ones alone; repeated rows are
     aligned each; an empty table gives an empty one.
     """
-    kept = [c for c in docs.columns if c not in (*ALIGNED, text)]
+
+    def arrays(done: Aligned) -> list[pa.Array]:
+        per_group = [np.repeat(x[:-1], np.diff(done.groups)) for x in (done.a_first, done.b_first)]
+        return [
+            _lists(done.a_first, done.a, pa.int32()),
+            _lists(done.b_first, done.b, pa.int32()),
+            _lists(done.groups, done.a_cut - per_group[0], pa.int32()),
+            _lists(done.groups, done.b_cut - per_group[1], pa.int32()),
+        ]
+
+    return _mapped(docs, text, [(name, T.ArrayType(T.IntegerType())) for name in ("a_ids", "b_ids", "a_ends", "b_ends")], arrays, a_path, b_path)
+
+
+def align_digests(docs: DataFrame, text: str = "text", a_path: str | None = None, b_path: str | None = None) -> DataFrame:
+    """As ``align``, but with ``n_a, n_b, n_groups, n_links`` and ``groups_sha256`` in place of the tokens and groups.
+
+    The hash (lowercase hex, '' without tokens) is that of ``a1,a2|b1;a3|b2,b3``: the ids of every group.
+    """
+
+    def arrays(done: Aligned) -> list[pa.Array]:
+        line, bounds = done.lines()
+        hashes = [hashlib.sha256(line[s : e - 1]).hexdigest() if e > s else "" for s, e in zip(bounds[:-1], bounds[1:])]
+        links = np.bincount(np.searchsorted(done.a_first, done.a_link, "right") - 1, minlength=len(hashes)).astype(np.int64)
+        return [pa.array(x) for x in (np.diff(done.a_first), np.diff(done.b_first), np.diff(done.groups), links)] + [pa.array(hashes, pa.string())]
+
+    added = [(name, T.LongType()) for name in ("n_a", "n_b", "n_groups", "n_links")] + [("groups_sha256", T.StringType())]
+    return _mapped(docs, text, added, arrays, a_path, b_path)
+
+
+def _lists(bounds: np.ndarray, values: np.ndarray, type_: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, type_))
+
+
+def _mapped(docs: DataFrame, text: str, added: list, arrays: Callable[[Aligned], list[pa.Array]], a_path: str | None, b_path: str | None) -> DataFrame:
+    added = [*added, ("pairs", T.ArrayType(T.LongType())), ("pair_links", T.ArrayType(T.IntegerType()))]
+    kept = [c for c in docs.columns if c not in (*[n for n, _ in added], text)]
     docs = docs.select(*[f"`{c}`" for c in kept], F.col(text).alias("_aligned_text"))
     kind = T.StructType([docs.schema[c] for c in kept])
-    for name in ALIGNED:
-        kind = kind.add(name, T.ArrayType(T.LongType() if name == "pairs" else T.IntegerType()))
-
-    def lists(bounds, values, type_):
-        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, type_))
+    for name, type_ in added:
+        kind = kind.add(name, type_)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = tokenizers(a_path, b_path)
         for batch in batches:
-            column = batch.column(len(kept))
-            texts = column.to_pylist()
-            sizes = np.cumsum([len(t or "") for t in texts])
+            texts = batch.column(len(kept))
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
             first = 0
             while first < len(texts):
                 last = max(first + 1, int(np.searchsorted(sizes, (sizes[first - 1] if first else 0) + CHUNK, "right")))
-                done = Aligned(*both.encode(texts[first:last]), both.a_lengths, both.b_lengths)
-                per_group = [np.repeat(x[:-1], np.diff(done.groups)) for x in (done.a_first, done.b_first)]
+                done = Aligned(*both.encode(texts.slice(first, last - first).to_pylist()), both.a_lengths, both.b_lengths)
                 bounds, pairs, links = done.pairs()
-                arrays = [
-                    lists(done.a_first, done.a, pa.int32()),
-                    lists(done.b_first, done.b, pa.int32()),
-                    lists(done.groups, done.a_cut - per_group[0], pa.int32()),
-                    lists(done.groups, done.b_cut - per_group[1], pa.int32()),
-                    lists(bounds, pairs, pa.int64()),
-                    lists(bounds, links, pa.int32()),
-                ]
                 rest = [batch.column(i).slice(first, last - first) for i in range(len(kept))]
-                yield pa.RecordBatch.from_arrays([*rest, *arrays], [*kept, *ALIGNED])
+                new = [*arrays(done), _lists(bounds, pairs, pa.int64()), _lists(bounds, links, pa.int32())]
+                yield pa.RecordBatch.from_arrays([*rest, *new], kind.names)
                 first = last
 
     return docs.mapInArrow(run, kind)
@@ -291,67 +335,3 @@ def _adder(names: list[str], shared):
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
-
-
-_DIGITS = 6  # of an id; vocabularies are smaller
-
-
-def group_lines(a: np.ndarray, b: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray, a_first: np.ndarray, b_first: np.ndarray):
-    """(bytes, bounds) of ``a1,a2|b1;a3|b2,b3`` for every document.
-
-    Ids of all documents in a row with document bounds; ``a_ends`` and ``b_ends`` hold each group's last token + 1 over all documents.
-    """
-    ids, marks = np.zeros(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
-    # A group's A ids stand behind the B ids of all groups before it, its B ids behind its A ids.
-    a_group, b_group = np.searchsorted(a_ends, np.arange(len(a)), "right"), np.searchsorted(b_ends, np.arange(len(b)), "right")
-    a_at = np.arange(len(a)) + np.append(0, b_ends)[a_group]
-    b_at = np.arange(len(b)) + (a_ends[b_group] if len(b) else 0)
-    ids[a_at], ids[b_at] = a, b
-    marks[a_at[a_ends - 1]] = ord("|")
-    marks[b_at[b_ends - 1]] = ord(";")
-    digits = np.zeros((len(ids), _DIGITS + 1), np.uint8)
-    shown = np.zeros(digits.shape, bool)
-    rest = ids.copy()
-    for place in range(_DIGITS - 1, -1, -1):
-        digits[:, place] = rest % 10 + ord("0")
-        shown[:, place] = (rest > 0) | (place == _DIGITS - 1)
-        rest //= 10
-    digits[:, _DIGITS], shown[:, _DIGITS] = marks, True
-    ends = np.append(0, np.cumsum(shown.sum(1)))
-    first = a_first + b_first
-    bounds = ends[first]
-    return digits[shown].tobytes(), bounds
-
-
-def digest(aligned: DataFrame) -> DataFrame:
-    """``aligned`` with ``n_a, n_b, n_groups, n_links`` and ``groups_sha256`` (lowercase hex, '' without tokens) for its token arrays."""
-    import hashlib
-
-    gone = ["a_ids", "b_ids", "a_ends", "b_ends"]
-    added = ["n_a", "n_b", "n_groups", "n_links"]
-    kept = [c for c in aligned.columns if c not in (*gone, *added, "groups_sha256")]
-    kind = T.StructType([aligned.schema[c] for c in kept])
-    for name in added:
-        kind = kind.add(name, T.LongType())
-    kind = kind.add("groups_sha256", T.StringType())
-    order = [*kept, *gone]
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values, firsts = [], []
-            for name in (*gone, "pair_links"):
-                column = batch.column(batch.schema.get_field_index(name))
-                values.append(column.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
-                firsts.append(np.append(0, np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int64))
-            a, b, a_ends, b_ends, links = values
-            per_group = np.diff(firsts[2])
-            text, bounds = group_lines(
-                a, b, a_ends + np.repeat(firsts[0][:-1], per_group), b_ends + np.repeat(firsts[1][:-1], per_group), firsts[0], firsts[1]
-            )
-            hashes = [hashlib.sha256(text[s : e - 1]).hexdigest() if e > s else "" for s, e in zip(bounds[:-1], bounds[1:])]
-            n_links = np.append(0, np.cumsum(links))[firsts[4]]
-            counts = [np.diff(x) for x in (firsts[0], firsts[1], firsts[2], n_links)]
-            rest = [batch.column(i) for i in range(len(kept))]
-            yield pa.RecordBatch.from_arrays([*rest, *map(pa.array, counts), pa.array(hashes)], [*kept, *added, "groups_sha256"])
-
-    return aligned.select(*[f"`{c}`" for c in order]).mapInArrow(run, kind)

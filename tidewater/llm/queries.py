@@ -139,7 +139,7 @@ def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @register
 def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
     docs = load_table(spark, folder, "documents").select("doc_id", "text")
-    aligned = durable(alignment.digest(alignment.align(docs)), "alignment-digest")
+    aligned = durable(alignment.align_digests(docs), "alignment-digest")
     return alignment.score(aligned, alignment.pair_counts(aligned)).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
     )
