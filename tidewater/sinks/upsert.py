@@ -49,7 +49,11 @@ def send(df: DataFrame, writer: Writer, block: int = 500) -> None:
 def upsert_stream(
     df: DataFrame, keys: list[str], order: list[str], writer: Writer, block: int = 500
 ) -> DataStreamWriter:
-    """A stream writer that upserts every micro-batch; start it with a checkpoint location."""
+    """A stream writer that upserts every micro-batch; start it with a checkpoint location.
+
+    A batch that Spark repeats is upserted again: harmless for writers that replace by key. Writers that append use
+    ``append_once`` instead.
+    """
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         send(dedup_latest(batch, keys, order), writer, block)
@@ -125,7 +129,10 @@ def keyed_json(df: DataFrame, key: str) -> DataFrame:
 
 
 class EachRow:
-    """For ``writeStream.foreach``: one connection per partition and epoch, one call per row."""
+    """For ``writeStream.foreach``: one connection per partition and epoch, one call per row.
+
+    Rows of a repeated batch are put again; a target for which that matters implements ``two_step.Target``.
+    """
 
     def __init__(self, connect: Callable[[], Any], put: Callable[[Any, Row], None]):
         self.connect = connect
