@@ -16,6 +16,28 @@ def both():
     return alignment.tokenizers()
 
 
+def byte_characters():
+    """The printable character that stands for each byte in byte-level vocabularies."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(others)}
+
+
+def test_ids_and_bytes_are_those_of_the_vocabulary_file(spark, both):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    slow = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    slow.encode_special_tokens = True
+    texts = [t for t in TEXTS if t] + [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    for text in texts:
+        assert slow.encode(" " + text, add_special_tokens=False).ids == both.a.encode_to_numpy(" " + text, disallowed_special=()).tolist()
+    back = byte_characters()
+    for piece, id in slow.get_vocab().items():
+        if id < len(both.a_bytes):
+            assert bytes(back[c] for c in piece) == both.a_bytes[id]
+
+
 def plain(texts, both):
     """Rows as the query gives them, without the id: bytes of every token, ends as sets, overlaps by comparing ranges."""
     docs, total = [], Counter()
