@@ -86,8 +86,11 @@ def test_near_duplicates(spark):
     assert collected(near_dedup.near_duplicates(docs, width=4)) == sorted(brute.near_duplicates(pairs(docs)), key=repr)
 
 
-def test_near_duplicate_groups_that_leaders_do_not_join(spark, monkeypatch):
-    """Chains of copies of copies: neighbours are linked, distant members are not; tiny tiles."""
+@pytest.mark.parametrize("leaders, rounds", [(16, 2), (2, 1), (1, 0)])
+def test_near_duplicate_groups_that_leaders_do_not_join(spark, monkeypatch, leaders, rounds):
+    """Chains of copies of copies: neighbours are linked, distant members are not; tiny tiles, also without later rounds."""
+    monkeypatch.setattr(near_dedup, "LEADERS", leaders)
+    monkeypatch.setattr(near_dedup, "ROUNDS", rounds)
     monkeypatch.setattr(near_dedup, "TILE", 3)
     monkeypatch.setattr(near_dedup, "PART", 2)
     texts, now, draw = [], words(200, 5, 10**6), random.Random(6)

@@ -29,8 +29,10 @@ BASE = 1.001
 TOP = 65534
 #: A pair is dropped unseen if its registers are e**8 times likelier at some similarity below the bound.
 EVIDENCE = 8.0
+#: Leaders of a bucket in each of the later rounds, and how many of these there are.
+LEADERS, ROUNDS = 4, 1
 #: Members and shingles of a block of a bucket (a tile is two blocks), and members compared with one copy of a bucket's leader.
-TILE = 512
+TILE = 2048
 TILE_SHINGLES = 2_000_000
 PART = 128
 _COLUMNS = 4096
@@ -224,18 +226,18 @@ def _promising(threshold: float):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.drop_duplicates("key").reset_index(drop=True)
         rows = np.frombuffer(b"".join(frame["registers"]), np.uint16).reshape(-1, REGISTERS)
-        sizes, leader, code = frame["n_shingles"].to_numpy(), frame["leader"].to_numpy(), pd.factorize(frame["root"])[0]
+        sizes, code = frame["n_shingles"].to_numpy(), pd.factorize(frame["root"])[0]
         flagged = np.zeros(len(frame), bool)
-        for i in np.flatnonzero(~leader):
+        for i in range(len(frame)):
             j = np.arange(i + 1, len(frame))
-            j = j[(code[j] != code[i]) & ~leader[j] & ~(flagged[j] & flagged[i])]
+            j = j[(code[j] != code[i]) & ~(flagged[j] & flagged[i])]
             j = j[(rows[j] == rows[i]).sum(axis=1) >= threshold * REGISTERS - 5 * np.sqrt(REGISTERS * threshold * (1 - threshold))]
             if len(j):
                 own = np.broadcast_to(rows[i], (len(j), REGISTERS))
                 good = j[plausible(own, rows[j], np.full(len(j), sizes[i]), sizes[j], threshold)]
                 flagged[good] = True
                 flagged[i] |= len(good) > 0
-        return frame.loc[flagged, ["band", "i", "j", "key", "root"]]
+        return frame.loc[flagged, ["band", "i", "j", "across", "key", "root"]]
 
     return run
 
@@ -277,6 +279,43 @@ def _linked(width: int, percent: int):
     return run
 
 
+def _unsettled(buckets: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of buckets with several components: ``band, key, root``, the largest one's root ``top``, members ``n`` and ``shingles``,
+    and of these ``rest`` and ``rest_shingles`` outside the largest component.
+    """
+    located = buckets.select("band", "key").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    sized = durable(located.join(classes.select("key", "n_shingles"), "key"), "located")
+    per_root = sized.groupBy("band", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    largest = F.max_by(F.struct("root", "n", "shingles"), F.struct("n", "root")).alias("largest")
+    mixed = durable(
+        per_root.groupBy("band")
+        .agg(F.sum("n").alias("n"), F.sum("shingles").alias("shingles"), F.count("*").alias("roots"), largest)
+        .where("roots > 1")
+        .select(
+            "band", "n", "shingles", F.col("largest.root").alias("top"), (F.col("n") - F.col("largest.n")).alias("rest"),
+            (F.col("shingles") - F.col("largest.shingles")).alias("rest_shingles"),
+        ),
+        "mixed",
+    )
+    out = durable(sized.drop("n_shingles").join(mixed, "band"), "unsettled")
+    discard(sized, mixed)
+    return out
+
+
+def _merged(links: DataFrame, roots: DataFrame) -> DataFrame:
+    """The roots after more links; only components are joined, so the graph of their roots is small."""
+    if not links.take(1):
+        discard(links)
+        return roots
+    above = components(_between_roots(links, roots))
+    renamed = above.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    joined = roots.join(renamed, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    fresh = above.join(roots, "node", "left_anti")
+    out = durable(joined.unionByName(fresh), "roots")
+    discard(links, above, roots)
+    return out
+
+
 def _between_roots(links: DataFrame, roots: DataFrame) -> DataFrame:
     """The links with every end replaced by the root of its component, where it has one."""
     for end in ("a", "b"):
@@ -297,10 +336,11 @@ def near_duplicates(
     component's id unless all ids of the component are null; an empty table gives an empty table.
 
     Pairs come from buckets of equal bands. First every member meets the leader of its bucket, which connects most members of
-    large groups. Buckets that still hold several components are cut into tiles of bounded size: sketches tell which members may
-    have a partner in another component, and the full sets of those are compared inside the tile. Only links that
-    join components leave it, so neither pairs of a group nor links within a component are ever written, and no
-    component depends on the choice of the leaders.
+    large groups. In the next rounds the members outside a bucket's largest component meet about ``LEADERS`` others, which are all
+    others in a small bucket. Where a larger bucket still holds several components, those few members are cut into blocks and meet
+    all others in tiles of bounded size: sketches tell which members may have a partner in another component, and the full sets of
+    those are compared inside the tile. Only links that join components leave it, so neither pairs of a group nor
+    links within a component are ever written, and no component depends on the choice of the leaders.
     """
     threshold = percent / 100
     source = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"), F.unhex(F.md5(text)).alias("text_key"))
@@ -338,46 +378,45 @@ def near_duplicates(
     roots = components(links)
     discard(likely, links)
 
-    located = buckets.where("n > 2").join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    sizes = classes.select("key", "n_shingles")
-    mixed = durable(
-        located.join(sizes, "key")
-        .groupBy("band")
-        .agg(F.min("root").alias("r"), F.max("root").alias("s"), F.sum("n_shingles").alias("size"))
-        .where("r != s")
-        .select("band", "size"),
-        "mixed",
-    )
+    for turn in range(ROUNDS):  # buckets of up to LEADERS members are settled by the first
+        members = _unsettled(buckets.where(F.col("n") > (LEADERS if turn else 2)), roots, classes)
+        chosen = members.where(F.pmod(F.xxhash64("key", F.lit(turn)), F.ceil(F.col("n") / LEADERS)) == 0)
+        chosen = chosen.select("band", F.col("key").alias("a"), F.col("root").alias("root_a"))
+        pairs = members.where("root != top").withColumnRenamed("key", "b").join(chosen, "band").where("root != root_a")
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        likely = durable(_likely(pairs, classes, threshold), "pairs")
+        roots = _merged(durable(_confirmed(likely, texts, width, percent), "links"), roots)
+        discard(members, likely)
+
+    members = _unsettled(buckets.where(F.col("n") > LEADERS), roots, classes)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tiles = (
-        located.join(mixed, "band")
-        .withColumn("blocks", F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("size") / TILE_SHINGLES)).cast("int"))
-        .withColumn("block", F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "key", "root", F.expr("key = leader").alias("leader"))
-    )
+    blocks = F.greatest(F.ceil(F.col("rest") / TILE), F.ceil(F.col("rest_shingles") / TILE_SHINGLES)).cast("int")
+    minor = F.col("root") != F.col("top")
+    cuts = F.greatest(F.ceil((F.col("n") - F.col("rest")) / TILE), F.ceil((F.col("shingles") - F.col("rest_shingles")) / TILE_SHINGLES)).cast("int")
+    own, slot = F.pmod(F.xxhash64("key", F.lit(7)), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("key", F.lit(11)), F.col("cuts")).cast("int")
+    # Members of the largest component stay in their own cut and meet every block of the others; those meet one another, too.
+    rest = members.where(minor).withColumns({"blocks": blocks, "cuts": cuts}).withColumn("block", own)
+    rest = rest.withColumn("tile", F.explode(F.concat(F.sequence(F.lit(0), F.col("cuts") - 1), F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: -1 - b))))
+    met = F.when(F.col("tile") < 0, F.greatest("block", -1 - F.col("tile"))).otherwise(F.col("tile"))
+    rest = rest.select("band", F.when(F.col("tile") < 0, F.least("block", -1 - F.col("tile"))).otherwise(F.col("block")).alias("i"), met.alias("j"), (F.col("tile") >= 0).alias("across"), "key", "root")
+    main = members.where(~minor).withColumns({"blocks": blocks, "cuts": cuts}).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = rest.unionByName(main.select("band", "i", slot.alias("j"), F.lit(True).alias("across"), "key", "root"))
     flagged = durable(
         tiles.join(classes.select("key", "registers", "n_shingles"), "key")
-        .repartition(parts, "band", "i", "j")
-        .groupBy("band", "i", "j")
-        .applyInPandas(_promising(threshold), "band long, i int, j int, key binary, root binary"),
+        .repartition(parts, "band", "i", "j", "across")
+        .groupBy("band", "i", "j", "across")
+        .applyInPandas(_promising(threshold), "band long, i int, j int, across boolean, key binary, root binary"),
         "tiles",
     )
     more = durable(
         flagged.join(texts, "key")
-        .repartition(parts, "band", "i", "j")
-        .groupBy("band", "i", "j")
+        .repartition(parts, "band", "i", "j", "across")
+        .groupBy("band", "i", "j", "across")
         .applyInPandas(_linked(width, percent), PAIR),
         "links",
     )
-    if more.take(1):
-        # Only components are joined here: the graph of their roots is small.
-        above = components(_between_roots(more, roots))
-        renamed = above.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        joined = roots.join(renamed, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
-        fresh = above.join(roots, "node", "left_anti")
-        roots = durable(joined.unionByName(fresh), "roots")
-    discard(classes, buckets, mixed, texts, flagged, more)
+    roots = _merged(more, roots)
+    discard(classes, buckets, members, texts, flagged)
 
     rows = described.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     heads = durable(rows.where("key is not null").groupBy("root").agg(F.min("doc_id").alias("head")), "heads")
