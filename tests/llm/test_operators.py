@@ -364,6 +364,24 @@ def test_neighbours(spark):
         assert got[q] == sorted(got[q], key=lambda x: (-x[1], x[0])) and len(got[q]) == 20
 
 
+@pytest.mark.parametrize("scale, block", [(1e-7, neighbours.BLOCK), (1e7, 3), (None, neighbours.BLOCK)])
+def test_neighbours_of_scaled_vectors(spark, monkeypatch, scale, block):
+    """Recall and scores do not depend on the unit; ``None``: norms between 1e-9 and 1e9 in one table, queries dealt over blocks."""
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    rows = vectors(400, 12, 5)
+    factor = [scale] * 400 if scale else 10.0 ** np.random.default_rng(1).integers(-9, 10, 400)
+    rows = [(id, [float(x) * float(f) for x in v]) for (id, v, _), f in zip(rows, factor)]
+    want = brute.nearest(rows)
+    got = {}
+    for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    exact = {i: np.array(v) for i, v in rows}
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.9 * sum(map(len, want.values()))
+    for q, found in got.items():
+        assert found == sorted(found, key=lambda x: (-x[1], x[0])) and len(found) == 20
+        assert all(score == (exact[q] * exact[i]).sum() for i, score in found)
+
+
 def test_many_equal_vectors(spark):
     """The nearest of a common vector are the smallest ids that hold it, whatever the window."""
     rows = vectors(200) + [(k, [1.0] * 16, 0) for k in range(1000, 3000)]

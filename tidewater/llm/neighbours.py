@@ -27,6 +27,8 @@ PROBES = 100
 REACHED = 0.96
 #: Ranks that are scored in one task.
 SEGMENT = 4096
+#: Queries of a segment that are scored in one task, about.
+BLOCK = 16_384
 _QUERIES_AT_ONCE = 256
 _SEED = 7
 
@@ -129,12 +131,28 @@ def _numbered(batches):
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the ``k`` largest finite scores, ties (to 1e-12) to the smaller id."""
+    """Places of the ``k`` largest finite scores, ties to the smaller id."""
     places = np.flatnonzero(scores > -np.inf)
     if len(places) > k:
         least = np.partition(scores[places], len(places) - k)[len(places) - k]
-        places = places[scores[places] >= least - 2e-12]
-    return places[np.lexsort((ids[places], -np.round(scores[places], 12)))[:k]]
+        places = places[scores[places] >= least]
+    return places[np.lexsort((ids[places], -scores[places]))[:k]]
+
+
+def best_exact(scores: np.ndarray, ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, longest: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, scores) of the ``k`` rows with the largest inner products.
+
+    ``scores`` come from a matrix product, whose sums may be added up in another order: rows within the rounding error of the ``k``-th,
+    relative to the lengths of the query and the ``longest`` row, are summed up again, each in the order of its own components.
+    """
+    places = np.flatnonzero(scores > -np.inf)
+    if len(places) > k:
+        least = np.partition(scores[places], len(places) - k)[len(places) - k]
+        error = 4 * len(query) * np.finfo(float).eps * np.linalg.norm(query) * longest
+        places = places[scores[places] >= least - error]
+    exact = (vectors[places] * query).sum(axis=1)
+    chosen = best(exact, ids[places], k)
+    return places[chosen], exact[chosen]
 
 
 def _exact(shared, k: int):
@@ -148,11 +166,13 @@ def _exact(shared, k: int):
             if not batch.num_rows:
                 continue
             own = batch.column(0).to_numpy()
-            scores = probes @ _vectors(batch.column(1)).T
+            vectors = _vectors(batch.column(1))
+            longest = np.linalg.norm(vectors, axis=1).max()
+            scores = probes @ vectors.T
             for q in range(len(ids)):
                 s = np.where(own == ids[q], -np.inf, scores[q])
-                chosen = best(s, own, k)
-                all_ids, all_scores = np.append(kept_ids[q], own[chosen]), np.append(kept[q], s[chosen])
+                chosen, exact = best_exact(s, own, vectors, probes[q], longest, k)
+                all_ids, all_scores = np.append(kept_ids[q], own[chosen]), np.append(kept[q], exact)
                 again = best(all_scores, all_ids, k)
                 kept_ids[q], kept[q] = all_ids[again], all_scores[again]
         sizes = [len(x) for x in kept]
@@ -174,6 +194,7 @@ def _scored(window: int, k: int):
         vectors = _vectors(take(rows, "v"))
         query_ids, query_ranks = take(queries, "vec_id").to_numpy(), take(queries, "rank").to_numpy()
         query_vectors = _vectors(take(queries, "v"))
+        longest = np.linalg.norm(vectors, axis=1).max()
         out = []
         for a in range(0, len(query_ids), _QUERIES_AT_ONCE):
             z = slice(a, a + _QUERIES_AT_ONCE)
@@ -181,8 +202,7 @@ def _scored(window: int, k: int):
             outside = np.abs(ranks[None, :] - query_ranks[z, None]) > window
             scores[outside | (ids[None, :] == query_ids[z, None])] = -np.inf
             for q, row in enumerate(scores):
-                chosen = best(row, ids, k)
-                exact = (vectors[chosen] * query_vectors[a + q]).sum(axis=1)
+                chosen, exact = best_exact(row, ids, vectors, query_vectors[a + q], longest, k)
                 out.append((np.full(len(chosen), query_ids[a + q]), ids[chosen], exact))
         return pa.table({name: pa.array(np.concatenate(x)) for name, x in zip(empty, zip(*out))})
 
@@ -233,9 +253,13 @@ def nearest(table: DataFrame, id: str = "vec_id", vector: str = "embedding", k:
     reach = F.sequence(F.greatest(F.floor((F.col("rank") - window) / SEGMENT), F.lit(0)), F.least(F.floor((F.col("rank") + window) / SEGMENT), last))
     asked = ranked.join(searching, "vec_id", "left_semi").withColumn("segment", F.explode(reach))
     held = ranked.select(*(F.col(c).alias(c) for c in ("curve", "vec_id", "v", "rank"))).withColumn("segment", F.floor(F.col("rank") / SEGMENT))
+    # A window that is a share of the rows brings ever more queries to a segment: they are dealt over blocks, each with the segment's rows.
+    blocks = max(1, -(-(2 * window + SEGMENT) * searching.count() // (total * BLOCK)))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks)).cast("int"))
+    held = held.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = (
-        asked.alias("asked").groupBy("curve", "segment")
-        .cogroup(held.alias("held").groupBy("curve", "segment"))
+        asked.alias("asked").groupBy("curve", "segment", "block")
+        .cogroup(held.alias("held").groupBy("curve", "segment", "block"))
         .applyInArrow(_scored(window, k), "query_id long, vec_id long, score double")
     )
     merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
