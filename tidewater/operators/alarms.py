@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from tidewater.functions.layout import layout
-from tidewater.operators.ordered import CHUNK, KeyedSequence, running_max
-from tidewater.operators.windows import floor_to
-from tidewater.session import checkpointed
 
-_WHOLE_KEY = -(2**63)
+from tidewater.operators.ordered import KeyedSequence
+from tidewater.operators.pointers import timer_path
+from tidewater.session import checkpointed, setting
 
 
 def jump_alarm(df: DataFrame, keys: list[str], order: list[str], value: str, limit: float) -> DataFrame:
@@ -40,176 +33,46 @@ def no_drop_alarm(df: DataFrame, keys: list[str], ts: str, seq: str, value: str,
     timer and becomes the baseline. A value below the baseline becomes the baseline and stops the timer. An expired
     timer is an alarm; the baseline stays.
 
-    The rule is a walk along the key, so keys of ordinary size are walked in one go. A hot key is cut into blocks
-    that are walked at the same time. Cuts are made only at rows after which just two states are possible: rows that
-    undercut everything within the last ``wait_ms``, or follow a pause of at least that long. There any running
-    timer is gone, and either a new one was started or not. Every block is walked for both cases and reports in
-    which case it leaves the next one; chaining these reports tells which of the two walks was real.
+    A key of up to ``FOLD`` rows is folded in one go. The timers of larger keys are found by pointers from timer to timer
+    (``pointers``), which no single task follows row by row, rising values included.
     """
     wait = wait_ms * 1000
-    us = F.unix_micros(ts)
     data = df.where(F.col(ts).isNotNull() & F.col(value).isNotNull()).select(
-        *keys, ts, us.alias("_us"), F.col(seq).cast("bigint").alias("_seq"), F.col(value).cast("double").alias("_v")
-    )
-    sequence = KeyedSequence(data, keys, [ts, "_seq"])
-    if not sequence.split:
-        blocks = sequence.df.withColumns(
-            {"_b_us": F.lit(_WHOLE_KEY), "_b_seq": F.lit(_WHOLE_KEY), "_tail": F.lit(False)}
-        )
-    else:
-        blocks = _cut(sequence, wait)
-    key_fields = [data.schema[k] for k in keys]
-    schema = T.StructType([*key_fields, *layout(
-        "_b_us bigint, _b_seq bigint, _entry int, _exit int, alarm_us bigint"
-    )])
-    group = [*keys, "_b_us", "_b_seq"]
-    walked = (
-        blocks.select(*group, "_us", "_seq", "_v", "_tail")
-        .repartition(*group)
-        .sortWithinPartitions(*group, "_us", "_seq")
-        .mapInArrow(_walker(len(group), wait, both=sequence.split), schema)
-    )
-    if sequence.split:
-        walked = checkpointed(walked)  # read twice below: for the exits and for the alarms
-    alarms = walked.where(F.col("alarm_us").isNotNull())
-    if not sequence.split:
-        return alarms.where(F.col("_entry") == 1).select(*keys, "alarm_us")
-    names = {k: f"_k{i}" for i, k in enumerate(keys)}
-    real = _real_entries(walked, keys).withColumnsRenamed({**names, "_b_us": "_r_us", "_b_seq": "_r_seq"})
-    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
-    same += [F.col("_b_us") == F.col("_r_us"), F.col("_b_seq") == F.col("_r_seq"), F.col("_entry") == F.col("_real")]
-    return alarms.join(real, same, "left_semi").select(*keys, "alarm_us")
-
-
-def _cut(sequence: KeyedSequence, wait: int) -> DataFrame:
-    """Rows with their block; the first row of a block also closes the previous one (``_tail``)."""
-    keys = sequence.keys
-    # Any number of rows may share an instant; only its first row can be a cut, and only its minimum matters to others.
-    instants = (
-        sequence.df.where(F.col(CHUNK).isNotNull())
-        .groupBy(*keys, "_us")
-        .agg(
-            F.min("_v").alias("_low"),
-            F.min("_seq").alias("_seq"),
-            F.min_by("_v", "_seq").alias("_first"),
-            F.min_by(CHUNK, "_seq").alias(CHUNK),
-        )
-    )
-    # Time slices that overlap by ``wait``: an instant near the end of a slice is repeated in the next one.
-    slice_us = 16 * wait
-    own = floor_to(F.col("_us"), slice_us)
-    spans = F.array_distinct(F.array(own, floor_to(F.col("_us") + wait, slice_us)))
-    recent = Window.partitionBy(*keys, "_slice").orderBy("_us").rangeBetween(-(wait - 1), -1)
-    undercut = F.col("_lowest").isNull() | (F.col("_first") < F.col("_lowest"))
-    anchors = (
-        instants.withColumn("_slice", F.explode(spans))
-        .withColumn("_lowest", F.min("_low").over(recent))
-        .where((F.col("_slice") == own) & undercut)
+        *keys, ts, F.unix_micros(ts).alias("_us"), F.col(seq).cast("bigint").alias("_seq"), F.col(value).cast("double").alias("_v")
     )
-    # One cut per chunk, at its first anchor.
-    names = {k: f"_cut_{i}" for i, k in enumerate(keys)}
-    cuts = anchors.groupBy(*keys, CHUNK).agg(F.min(F.struct("_us", "_seq")).alias("_at"))
-    cuts = cuts.withColumnsRenamed({**names, CHUNK: "_cut_chunk"})
-    same = [F.col(CHUNK) == F.col("_cut_chunk"), *[F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]]
-    is_cut = (F.col("_us") == F.col("_at._us")) & (F.col("_seq") == F.col("_at._seq"))
-    marked = sequence.df.join(cuts, same, "left").withColumn("_cut", F.coalesce(is_cut, F.lit(False)))
-    place = F.when(F.col("_cut"), F.struct("_us", "_seq"))
-    numbered = (
-        sequence._with(marked.drop("_at", "_cut_chunk", *names.values()))
-        .running(_block=running_max(place), _earlier=running_max(place, inclusive=False))
-        .rows()
-    )
-    closing = F.struct(F.col("_earlier").alias("b"), F.lit(True).alias("tail"))
-    opening = F.struct(F.col("_block").alias("b"), F.lit(False).alias("tail"))
-    twice = F.when(F.col("_cut") & F.col("_earlier").isNotNull(), F.array(opening, closing)).otherwise(F.array(opening))
-    return numbered.withColumn("_place", F.explode(twice)).select(
-        *keys,
-        "_us",
-        "_seq",
-        "_v",
-        F.coalesce("_place.b._us", F.lit(_WHOLE_KEY)).alias("_b_us"),
-        F.coalesce("_place.b._seq", F.lit(_WHOLE_KEY)).alias("_b_seq"),
-        F.col("_place.tail").alias("_tail"),
+    least = min(FOLD, setting(df.sparkSession, "hotRows", 1_000_000))
+    large = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > least).drop("_n")
+    if not large.take(1):
+        return _folded(data, keys, wait)
+    names = {k: f"_own_{i}" for i, k in enumerate(keys)}
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()] or F.lit(True)
+    large = checkpointed(large.withColumn("key", F.monotonically_increasing_id())).withColumnsRenamed(names)
+    path = timer_path(data.join(large, same).select("key", F.col(ts).alias("ts"), "_us", "_seq", "_v"), wait)
+    named = path.join(large, "key").select(*[F.col(n).alias(k) for k, n in names.items()], "alarm_us")
+    return _folded(data.join(large, same, "left_anti"), keys, wait).unionByName(named)
+
+
+#: Rows of a key that are folded as one array.
+FOLD = 4096
+
+
+def _folded(data: DataFrame, keys: list[str], wait: int) -> DataFrame:
+    listed = data.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_us", "_seq", "_v"))).alias("_rows"))
+    start = F.struct(
+        F.lit(None).cast("double").alias("baseline"), F.lit(None).cast("bigint").alias("timer"), F.array().cast("array<bigint>").alias("alarms")
     )
 
+    def step(held: Column, row: Column) -> Column:
+        expired = F.coalesce(held["timer"] <= row["_us"], F.lit(False))
+        drop = F.coalesce(row["_v"] < held["baseline"], F.lit(False))
+        running = held["timer"].isNotNull() & ~expired
+        return F.struct(
+            F.when(running & ~drop, held["baseline"]).otherwise(row["_v"]).alias("baseline"),
+            F.when(drop, F.lit(None)).when(running, held["timer"]).otherwise(row["_us"] + F.lit(wait)).alias("timer"),
+            F.when(expired, F.concat(held["alarms"], F.array(held["timer"]))).otherwise(held["alarms"]).alias("alarms"),
+        )
 
-def _real_entries(walked: DataFrame, keys: list[str]) -> DataFrame:
-    """``_real`` entry state of every block, chained from the first block, which starts its timer."""
-    exits = (
-        walked.where(F.col("alarm_us").isNull())
-        .groupBy(*keys, "_b_us", "_b_seq")
-        .agg(F.max(F.when(F.col("_entry") == 0, F.col("_exit"))).alias("_e0"), F.max(F.when(F.col("_entry") == 1, F.col("_exit"))).alias("_e1"))
-    )
-    in_turn = Window.partitionBy(*keys).orderBy("_b_us", "_b_seq")
-    before = in_turn.rowsBetween(Window.unboundedPreceding, -1)
-    flips = F.coalesce(F.sum(F.col("_flip")).over(before), F.lit(0))
-    settled = F.max(F.when(F.col("_e0") == F.col("_e1"), F.struct("_n", "_e1", "_flips"))).over(before)
-    chained = (
-        exits.withColumns({"_n": F.row_number().over(in_turn), "_flip": (F.col("_e0") > F.col("_e1")).cast("int")})
-        .withColumn("_flips", flips)
-        .withColumn("_settled", settled)
-    )
-    start = F.coalesce("_settled._e1", F.lit(1))
-    turned = F.col("_flips") - F.coalesce("_settled._flips", F.lit(0))
-    return chained.select(*keys, "_b_us", "_b_seq", F.pmod(start + turned, F.lit(2)).alias("_real"))
-
+    def end(held: Column) -> Column:
+        return F.when(held["timer"].isNotNull(), F.concat(held["alarms"], F.array(held["timer"]))).otherwise(held["alarms"])
 
-def _walker(width: int, wait: int, both: bool):
-    """A task function over rows sorted by block and time; keeps one (baseline, timer) state, or one for each way into the
-    block, never the rows.
-    """
-    entries = (0, 1) if both else (1,)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, state, schema = None, None, None
-        out: list[tuple] = []
-
-        def close() -> None:
-            # No later block: pending timers expire at the end of time, and nothing is handed on.
-            if state is None:
-                return
-            for entry in entries:
-                if state[entry][1] is not None:
-                    out.append((*current, entry, None, state[entry][1]))
-                if both:
-                    out.append((*current, entry, 1, None))
-
-        def flush() -> pa.RecordBatch:
-            columns = list(zip(*out)) if out else [[] for _ in schema]
-            batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
-            out.clear()
-            return batch
-
-        for batch in batches:
-            if schema is None:
-                fields = [batch.schema.field(i) for i in range(width)]
-                extra = [("_entry", pa.int32()), ("_exit", pa.int32()), ("alarm_us", pa.int64())]
-                schema = pa.schema([*fields, *[pa.field(n, t) for n, t in extra]])
-            columns = [batch.column(i).to_pylist() for i in range(width + 4)]
-            for row in zip(*columns):
-                block, (t, _, v, tail) = row[:width], row[width:]
-                if block != current:
-                    close()
-                    current, state = block, [(v, None), (v, t + wait)]
-                    continue
-                for entry in entries:
-                    (baseline, timer), started = state[entry], 1
-                    if timer is not None and t >= timer:
-                        out.append((*current, entry, None, timer))
-                        timer = None
-                    if v < baseline:
-                        baseline, timer, started = v, None, 0
-                    elif timer is None:
-                        baseline, timer = v, t + wait
-                    state[entry] = (baseline, timer)
-                    if tail:
-                        out.append((*current, entry, started, None))
-                if tail:
-                    state = None
-            if out:
-                yield flush()
-        close()
-        if out:
-            yield flush()
-
-    return run
+    return listed.select(*keys, F.explode(F.aggregate("_rows", start, step, end)).alias("alarm_us"))
