@@ -420,3 +420,51 @@ def test_late_windows_equal_replay(spark, events, tmp_path, cuts):
     aside = op.classify(rows, "ts_ms", order, 3 * HOUR, HOUR, HOUR, HOUR).where("lateness = 'side_output'")
     same(spark.read.parquet(str(tmp_path / "aside")), aside, ["event_id", "user_id", "ts_ms"])
     assert len(list((tmp_path / "memory" / "windows").iterdir())) == 2
+
+
+@pytest.mark.parametrize("skip", ["none", "past_last"])
+def test_relaxed_sequence_with_rows_of_a_later_batch(spark, events, tmp_path, skip):
+    rows, late = _shuffled_batches(spark, events, tmp_path)
+    steps = ["event_type = 'click'", "event_type = 'view'", "event_type = 'purchase'"]
+    flagged = late.withColumns({f"f{k}": F.expr(s) for k, s in enumerate(steps)})
+    processor = p.MatchRelaxed(["f0", "f1", "f2"], 200 * HOUR, skip)
+    got = collect(spark, apply_stateful(flagged, ["user_id"], processor, time="eventTime"), tmp_path)
+    want = op.match_relaxed_sequence(rows, ["user_id"], ["ts", "seq"], "ts", [F.expr(s) for s in steps], 200 * HOUR, skip)
+    want = want.select("user_id", F.unix_millis("first_ts").alias("first_ms"), F.unix_millis("last_ts").alias("last_ms"))
+    same(got, want, ["user_id", "first_ms", "last_ms"])
+
+
+def sides(df):
+    click = df.where("event_type = 'click' or user_id = -1").selectExpr("user_id", "ts as l_ts", "event_id as l_id")
+    buy = df.where("event_type = 'purchase' or user_id = -1").selectExpr("user_id", "ts as r_ts", "event_id as r_id")
+    return click, buy
+
+
+@pytest.mark.parametrize("which", ["left", "right"])
+def test_unmatched_rows_are_reported_when_no_partner_can_come(spark, folder, events, tmp_path, which):
+    left, right = sides(stream(spark, folder, events))
+    left, right = left.withWatermark("l_ts", "1 hour"), right.withWatermark("r_ts", "1 hour")
+    want = op.unmatched_within(*sides(events), "user_id", "l_ts", "r_ts", -2 * HOUR, 6 * HOUR)
+    if which == "left":
+        got, want = sw.unmatched(left, right, "user_id", "l_ts", "r_ts", "-2 hours", "6 hours"), want[0]
+        id = "l_id"
+    else:
+        got, want = sw.unmatched(right, left, "user_id", "r_ts", "l_ts", "-6 hours", "2 hours"), want[1]
+        id = "r_id"
+    same(collect(spark, got, tmp_path), want, ["user_id", id])
+
+
+def test_a_late_partner_prevents_the_report(spark, tmp_path):
+    """The partner comes a batch later but within the watermark's delay; another row's partner never comes."""
+    folders = {}
+    for side, batches in {"l": [[(1, 10), (2, 12)], [(9, 500)], [(9, 501)]], "r": [[(9, 11)], [(1, 14), (9, 500)], [(9, 501)]]}.items():
+        folders[side] = str(tmp_path / side)
+        for rows in batches:
+            frame = spark.createDataFrame(rows, "user_id long, at long").select("user_id", F.timestamp_seconds("at").alias(f"{side}_ts"))
+            frame.coalesce(1).write.mode("append").parquet(folders[side])
+            time.sleep(0.05)
+    read = lambda side: (
+        spark.readStream.schema(f"user_id long, {side}_ts timestamp").option("maxFilesPerTrigger", 1).parquet(folders[side]).withWatermark(f"{side}_ts", "30 seconds")
+    )
+    got = collect(spark, sw.unmatched(read("l"), read("r"), "user_id", "l_ts", "r_ts", "-5 seconds", "5 seconds"), tmp_path)
+    assert [r["user_id"] for r in got.collect()] == [2]

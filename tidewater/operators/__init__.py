@@ -12,8 +12,9 @@ from tidewater.operators.aggregates import (
     running_distinct,
 )
 from tidewater.operators.alarms import jump_alarm, no_drop_alarm, timer_fires
+from tidewater.operators.bitmaps import dense_ids, distinct_from, merge_bitmaps, pane_bitmaps, roll_up
 from tidewater.operators.changelog import retract_count
-from tidewater.operators.joins import interval_join, reconcile, unmatched
+from tidewater.operators.joins import interval_join, reconcile, unmatched, unmatched_within
 from tidewater.operators.late import (
     classify,
     late_updates,
@@ -22,7 +23,7 @@ from tidewater.operators.late import (
     sliding_counts_with_late,
     tumbling_bounded,
 )
-from tidewater.operators.match import match_sequence, match_times
+from tidewater.operators.match import match_relaxed_sequence, match_sequence, match_times
 from tidewater.operators.merging import merging_sessions, sessions_bounded
 from tidewater.operators.ordered import (
     KeyedSequence,
@@ -43,24 +44,30 @@ __all__ = [
     "co_map",
     "count_sliding",
     "count_tumbling",
+    "dense_ids",
     "distinct_first",
+    "distinct_from",
     "interval_join",
     "jump_alarm",
     "late_updates",
+    "match_relaxed_sequence",
     "match_sequence",
     "match_times",
     "max_field",
     "max_field_running",
     "max_record",
     "max_record_running",
-    "no_drop_alarm",
+    "merge_bitmaps",
     "merging_sessions",
+    "no_drop_alarm",
     "ordinal",
+    "pane_bitmaps",
     "reconcile",
     "reduce_in_order",
     "replay_watermark",
     "retract_count",
     "rich_map",
+    "roll_up",
     "running_count",
     "running_distinct",
     "running_max",
@@ -76,7 +83,8 @@ __all__ = [
     "timer_fires",
     "tumbling",
     "tumbling_bounded",
-    "unmatched",
     "union_all",
+    "unmatched",
+    "unmatched_within",
     "words",
 ]

@@ -22,6 +22,27 @@ def unmatched(left: DataFrame, right: DataFrame, key: str) -> tuple[DataFrame, D
     return left.join(right.select(key), key, "left_anti"), right.join(left.select(key), key, "left_anti")
 
 
+def unmatched_within(
+    left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, lower_ms: int, upper_ms: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of each side without a partner: none with the same key and ``left_ts + lower <= right_ts <= left_ts + upper``.
+
+    Rows without a key or time have no partner. Time slots are part of the join key, as for ``interval_join``.
+    """
+
+    def alone(ours: DataFrame, theirs: DataFrame, our_ts: str, their_ts: str, lower: int, upper: int) -> DataFrame:
+        slot = 2 * max(upper - lower, 1) * 1000
+        at = F.unix_micros(F.col("_at"))
+        first, last = floor_to(at - upper * 1000, slot), floor_to(at - lower * 1000, slot)
+        offered = theirs.select(F.col(key).alias("_key"), F.col(their_ts).alias("_at")).where(F.col("_at").isNotNull()).distinct()
+        offered = offered.withColumn("_slot", F.explode(F.sequence(first, last, F.lit(slot).cast("bigint"))))
+        own = F.unix_micros(our_ts)
+        near = (at - own).between(lower * 1000, upper * 1000)
+        return ours.join(offered, (F.col(key) == F.col("_key")) & (floor_to(own, slot) == F.col("_slot")) & near, "left_anti")
+
+    return alone(left, right, left_ts, right_ts, lower_ms, upper_ms), alone(right, left, right_ts, left_ts, -upper_ms, -lower_ms)
+
+
 def interval_join(
     left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, lower_ms: int, upper_ms: int
 ) -> DataFrame:

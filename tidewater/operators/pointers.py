@@ -29,8 +29,8 @@ def timer_path(rows: DataFrame, wait: int) -> DataFrame:
     """``key, alarm_us``: the timers that expired, for rows ``key, ts, _us, _seq, _v`` of large keys; ``key`` is an integer."""
     numbered = KeyedSequence(rows, ["key"], ["ts", "_seq"]).running(rn=running_count()).rows()
     numbered = checkpointed(numbered.select("key", "rn", F.col("_us").alias("us"), F.col("_v").alias("v")))
-    graph = checkpointed(_next_timers(numbered, wait))
-    return _walked(graph)
+    graph = checkpointed(_next_timers(numbered, wait).withColumnRenamed("alarm_us", "mark"))
+    return marks_on_path(graph).withColumnRenamed("mark", "alarm_us")
 
 
 def _next_timers(numbered: DataFrame, wait: int) -> DataFrame:
@@ -102,10 +102,13 @@ def _first(condition) -> Column:
     return F.get(F.filter("children", condition), F.lit(0))
 
 
-def _walked(graph: DataFrame) -> DataFrame:
-    """The alarms on the path from row 1 of every key."""
+def marks_on_path(graph: DataFrame) -> DataFrame:
+    """``key, mark``: the marks that are not NULL on the path from row 1 of every key, for ``key, rn, next, mark``.
+
+    Rows of a key are numbered from 1 without gaps; ``next`` is a later row or NULL, ``mark`` a bigint.
+    """
     size = 1 << BLOCK_BITS
-    ordered = F.array_sort(F.collect_list(F.struct("rn", "next", "alarm_us")))
+    ordered = F.array_sort(F.collect_list(F.struct("rn", "next", "mark")))
     blocks = graph.groupBy("key", F.shiftright("rn", BLOCK_BITS).alias("block")).agg(ordered.alias("rows"))
     blocks = checkpointed(blocks.withColumns({"base": F.col("rows")[0]["rn"], "end": F.element_at("rows", -1)["rn"]}))
 
@@ -130,13 +133,13 @@ def _walked(graph: DataFrame) -> DataFrame:
 
     # A path goes through a block once, from where it enters it.
     nothing = F.array().cast("array<bigint>")
-    start = F.struct(F.col("rn").alias("at"), nothing.alias("alarms"))
+    start = F.struct(F.col("rn").alias("at"), nothing.alias("marks"))
 
     def step(walk: Column, _: Column) -> Column:
         row = F.get("rows", (walk["at"] - F.col("base")).cast("int"))
-        alarms = F.when(row["alarm_us"].isNotNull(), F.concat(walk["alarms"], F.array(row["alarm_us"]))).otherwise(walk["alarms"])
-        return F.when(walk["at"] <= F.col("end"), F.struct(row["next"].alias("at"), alarms.alias("alarms"))).otherwise(walk)
+        marks = F.when(row["mark"].isNotNull(), F.concat(walk["marks"], F.array(row["mark"]))).otherwise(walk["marks"])
+        return F.when(walk["at"] <= F.col("end"), F.struct(row["next"].alias("at"), marks.alias("marks"))).otherwise(walk)
 
     inside = reached.withColumn("block", F.shiftright("rn", BLOCK_BITS)).join(blocks, ["key", "block"])
     walked = F.aggregate(F.sequence(F.lit(1), F.lit(size)), start, step)
-    return inside.select("key", F.explode(walked["alarms"]).alias("alarm_us"))
+    return inside.select("key", F.explode(walked["marks"]).alias("mark"))

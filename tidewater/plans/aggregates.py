@@ -236,6 +236,24 @@ def reconcile_inner(t):
     return op.reconcile(orders, lines, "orderkey")
 
 
+@query(
+    """
+    select 'order' as side, o_orderkey as orderkey, epoch_us(o_orderdate) // 1000 as at_ms from orders
+    where not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_shipdate between o_orderdate - interval 10 day and o_orderdate + interval 10 day)
+    union all
+    select 'line', l_orderkey, epoch_us(l_shipdate) // 1000 from lineitem
+    where not exists (select 1 from orders where l_orderkey = o_orderkey and l_shipdate between o_orderdate - interval 10 day and o_orderdate + interval 10 day)
+    """
+)
+def unmatched_within(t):
+    orders = t.orders.select(F.col("o_orderkey").alias("orderkey"), F.col("o_orderdate").alias("at"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("orderkey"), F.col("l_shipdate").alias("at"))
+    day = 24 * 3_600_000
+    left, right = op.unmatched_within(orders, lines, "orderkey", "at", "at", -10 * day, 10 * day)
+    shown = lambda side, rows: rows.select(F.lit(side).alias("side"), "orderkey", F.unix_millis("at").alias("at_ms"))
+    return shown("order", left).unionByName(shown("line", right))
+
+
 @query(
     """
     select 'order' as side, o_orderkey as orderkey from orders where o_orderkey not in (select l_orderkey from lineitem)

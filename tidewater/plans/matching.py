@@ -61,3 +61,42 @@ def match_relaxed(t):
 def match_sequence(t):
     steps = [_is("click"), _is("purchase")]
     return _found(op.match_sequence(_rows(t), ["user_id"], ["ts", "event_id"], "ts", steps, 24 * HOUR))
+
+
+_CHAINS = f"""
+    numbered as (
+        select user_id, epoch_us(ts) as us, event_type, row_number() over (partition by user_id order by ts, event_id) as rn from events
+    ), ahead as (
+        select *, min(case when event_type = 'purchase' then rn end) over w as purchase, min(case when event_type = 'error' then rn end) over w as error
+        from numbered window w as (partition by user_id order by rn rows between 1 following and unbounded following)
+    ), matches as (
+        select a.user_id, a.rn, c.rn as last_rn, a.us // 1000 as first_ms, c.us // 1000 as last_ms
+        from ahead a join ahead b on a.user_id = b.user_id and a.purchase = b.rn join ahead c on b.user_id = c.user_id and b.error = c.rn
+        where a.event_type = 'click' and c.us - a.us < {48 * HOUR * 1000}
+    )
+"""
+
+
+def _chains(t, skip):
+    steps = [_is("click"), _is("purchase"), _is("error")]
+    return _found(op.match_relaxed_sequence(_rows(t), ["user_id"], ["ts", "event_id"], "ts", steps, 48 * HOUR, skip))
+
+
+@query(f"with {_CHAINS} select user_id, first_ms, last_ms from matches")
+def match_relaxed_sequence(t):
+    return _chains(t, "none")
+
+
+@query(
+    f"""
+    with recursive {_CHAINS}, taken as (
+        select user_id, min(rn) as rn from matches group by user_id
+        union all
+        select t.user_id, (select min(n.rn) from matches n where n.user_id = t.user_id and n.rn > m.last_rn)
+        from taken t join matches m on m.user_id = t.user_id and m.rn = t.rn
+    )
+    select user_id, first_ms, last_ms from taken join matches using (user_id, rn)
+    """
+)
+def match_relaxed_past_last(t):
+    return _chains(t, "past_last")

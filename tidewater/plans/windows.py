@@ -222,3 +222,39 @@ def et_tumbling_sum(t):
 @query(_sliding_sql(12 * HOUR, 4 * HOUR))
 def et_sliding_sum(t):
     return _sliding(t, 12 * HOUR, 4 * HOUR)
+
+
+@query(
+    f"""
+    select 'hour' as span, event_type, epoch_us(ts) // 1000 // {HOUR} * {HOUR} as win_start_ms, count(distinct user_id) as uv from events group by all
+    union all
+    select 'day', event_type, epoch_us(ts) // 1000 // {24 * HOUR} * {24 * HOUR}, count(distinct user_id) from events group by all
+    union all
+    select 'day', null, epoch_us(ts) // 1000 // {24 * HOUR} * {24 * HOUR}, count(distinct user_id) from events group by all
+    """
+)
+def uv_rolled_up(t):
+    """Distinct users per hour and type, per day and type, and per day: rows are read for the hours only."""
+    rows = t.events.select("event_type", "user_id", F.unix_millis("ts").alias("ts_ms"))
+    hours = op.pane_bitmaps(rows, ["event_type"], "ts_ms", "user_id", HOUR)
+    days = op.roll_up(hours, ["event_type"], 24 * HOUR)
+    group = ["event_type", "win_start_ms"]
+    shown = [
+        op.distinct_from(hours.withColumnRenamed("pane_start_ms", "win_start_ms"), group).withColumn("span", F.lit("hour")),
+        op.distinct_from(days, group).withColumn("span", F.lit("day")),
+        op.distinct_from(op.merge_bitmaps(days, ["win_start_ms"]), ["win_start_ms"]).withColumn("span", F.lit("day")),
+    ]
+    return shown[0].unionByName(shown[1]).unionByName(shown[2], allowMissingColumns=True)
+
+
+@query(
+    f"""
+    select ts_ms // {HOUR} * {HOUR} - i * {HOUR} as win_start_ms, count(distinct props) as n_props
+    from (select epoch_us(ts) // 1000 as ts_ms, props from events), range(6) r(i) group by all having count(distinct props) > 0
+    """
+)
+def distinct_props_sliding(t):
+    """Distinct strings in sliding windows: numbered once, then as bitmaps of hours."""
+    rows = op.dense_ids(t.events.select("props", F.unix_millis("ts").alias("ts_ms")), "props", "number")
+    hours = op.pane_bitmaps(rows, [], "ts_ms", "number", HOUR)
+    return op.distinct_from(op.roll_up(hours, [], 6 * HOUR, HOUR), ["win_start_ms"], "n_props")

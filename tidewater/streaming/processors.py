@@ -411,6 +411,52 @@ class MatchTimes(MatchSequence):
         return self.consecutive or row[2][0]
 
 
+class MatchRelaxed(Waiting):
+    """``flags`` true in this order on rows of a key, other rows in between: what ``match_relaxed_sequence`` gives.
+
+    Kept are the open matches: the time of their first row and the step they wait for. ``within_ms`` drops those that can no longer end in time;
+    without it they wait for good. ``skip="past_last"``: the row that ends a match discards all open ones and starts none.
+    """
+
+    output = "first_ms bigint, last_ms bigint"
+    waiting = "at_ms bigint, seq bigint, flags array<boolean>"
+
+    def __init__(self, flags: list[str], within_ms: int | None = None, skip: str = "none"):
+        self.flags, self.within, self.skip = flags, within_ms, skip
+
+    def init(self, handle):
+        super().init(handle)
+        self.open = handle.getListState("open", layout("first_ms bigint, step bigint"))
+
+    def kept(self, row):
+        return ([bool(row[f]) for f in self.flags],)
+
+    def work(self, key, rows, passed):
+        waiting = [tuple(r) for r in self.open.get()] if self.open.exists() else []
+        for at, _, flags in rows:
+            if self.within is not None:
+                waiting = [w for w in waiting if at - w[0] < self.within]
+            moved, ended = [], False
+            for first, step in waiting:
+                if not flags[step]:
+                    moved.append((first, step))
+                elif step + 1 < len(self.flags):
+                    moved.append((first, step + 1))
+                elif not (ended and self.skip == "past_last"):
+                    ended = True
+                    yield self.emit(key, first, at)
+            if ended and self.skip == "past_last":
+                waiting = []
+                continue
+            if flags[0]:
+                if len(self.flags) == 1:
+                    yield self.emit(key, at, at)
+                else:
+                    moved.append((at, 1))
+            waiting = moved
+        self.open.put(waiting) if waiting else self.open.clear()
+
+
 class Reconcile(Emitting):
     """Two sides of one key (column ``side`` = left/right, JSON in ``body``): every pair is emitted once both have arrived.
 

@@ -62,6 +62,21 @@ def interval_join(
     return l.join(r, on, "inner").select("l.*", *rest)
 
 
+def unmatched(
+    left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str, lower: str, upper: str
+) -> DataFrame:
+    """Rows of ``left`` for which no partner ``left_ts + lower <= right_ts <= left_ts + upper`` has come and none can come any more.
+
+    Both sides need a watermark. A row is reported once the watermark has passed its last possible partner, and forgotten
+    then; a row whose partner came is never reported. For the other side swap the sides and the bounds. Rows without a time
+    are dropped by the watermark.
+    """
+    l = left.select(F.struct(*left.columns).alias("_row"), F.col(key).alias("_lk"), F.col(left_ts).alias("_lt"))
+    r = right.select(F.col(key).alias("_rk"), F.col(right_ts).alias("_rt"))
+    bounds = F.expr(f"_rt >= _lt + interval {lower} and _rt <= _lt + interval {upper}")
+    return l.join(r, (F.col("_lk") == F.col("_rk")) & bounds, "left_outer").where("_rt is null").select("_row.*")
+
+
 def first_seen(df: DataFrame, keys: list[str], within_watermark: bool = False) -> DataFrame:
     """First row per key. ``within_watermark`` forgets keys once the watermark has passed, which bounds the state."""
     return df.dropDuplicatesWithinWatermark(keys) if within_watermark else df.dropDuplicates(keys)
