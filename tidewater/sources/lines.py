@@ -5,7 +5,8 @@
 
 A stream reads files in order of their modification time, then name; its offset is the last file read and the number
 of files up to it. A file that turns up behind the offset (moved there with an old modification time) stops the
-stream with an error instead of being lost. Large files are cut at line ends into splits of ``splitBytes`` (32 MB).
+stream with an error instead of being lost. Files are complete when they appear; for files that grow, late files and a
+bound of what a micro-batch reads use ``GrowingFolder``. Large files are cut at line ends into splits of ``splitBytes`` (32 MB).
 """
 
 from __future__ import annotations
