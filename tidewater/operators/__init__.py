@@ -13,7 +13,7 @@ from tidewater.operators.aggregates import (
 )
 from tidewater.operators.alarms import jump_alarm, no_drop_alarm, timer_fires
 from tidewater.operators.bitmaps import dense_ids, distinct_from, merge_bitmaps, pane_bitmaps, roll_up
-from tidewater.operators.changelog import retract_count
+from tidewater.operators.changelog import aggregate_changelog, retract_count
 from tidewater.operators.joins import interval_join, reconcile, unmatched, unmatched_within
 from tidewater.operators.late import (
     classify,
@@ -33,11 +33,13 @@ from tidewater.operators.ordered import (
     running_sum,
 )
 from tidewater.operators.rows import co_map, rich_map, shuffle_rows, split_rows, union_all, words
+from tidewater.operators.runs import walk_windows
 from tidewater.operators.windows import count_sliding, count_tumbling, sessions, sliding, tumbling
 
 __all__ = [
     "Aggregator",
     "KeyedSequence",
+    "aggregate_changelog",
     "aggregate_with",
     "apply_to_windows",
     "classify",
@@ -86,5 +88,6 @@ __all__ = [
     "union_all",
     "unmatched",
     "unmatched_within",
+    "walk_windows",
     "words",
 ]

@@ -112,3 +112,15 @@ def dedup_first(t):
 )
 def retract_changelog(t):
     return op.retract_count(t.events, ["user_id"], ["event_id"])
+
+
+@query(
+    """
+    select user_id % 7 as team, count(*) as n, sum(cnt)::bigint as total, min(cnt) as low, max(cnt) as high
+    from (select user_id, count(*) as cnt from events group by user_id) group by all
+    """
+)
+def changelog_aggregate(t):
+    """Aggregates over the counts of all users of a team, from the log in which every count is withdrawn and replaced."""
+    log = op.retract_count(t.events, ["user_id"], ["event_id"]).withColumn("team", F.col("user_id") % 7)
+    return op.aggregate_changelog(log, ["team"], "cnt")

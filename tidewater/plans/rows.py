@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from tidewater import operators as op
 from tidewater import sinks, sources
 from tidewater.functions import json_value, split_words, utf16_length
+from tidewater.functions.tables import register_table_functions
 from tidewater.plans.registry import query
 
 
@@ -194,3 +195,27 @@ def split_main(t):
 def split_side(t):
     side = op.split_rows(t.events.select("event_id", "user_id", "value"), F.col("value") < 40)[1]
     return side.select("event_id", F.concat_ws(":water level:", "user_id", "value").alias("message"))
+
+
+@query(
+    """
+    with marked as (
+        select user_id, event_id, event_type,
+               row_number() over (partition by user_id order by event_id) - row_number() over (partition by user_id, event_type order by event_id) as island
+        from events
+    )
+    select user_id as key, min(event_id) as first_seq, max(event_id) as last_seq, event_type as value, count(*) as n
+    from marked group by user_id, event_type, island
+    """
+)
+def table_function_runs(t):
+    register_table_functions(t.spark)
+    rows = t.events.select(F.col("user_id").alias("key"), F.col("event_id").alias("seq"), F.col("event_type").alias("value"))
+    return sources.sql_over(t.spark, "select * from runs(table(select * from {rows}) partition by key order by seq)", rows=rows)
+
+
+@query("select p_partkey, i as place, words[i + 1] as word from (select p_partkey, string_split(p_name, ' ') as words from part), range(50) r(i) where i < len(words)")
+def table_function_words(t):
+    register_table_functions(t.spark)
+    text = "select p_partkey, w.place, w.word from {parts} join lateral words(p_name) w"
+    return sources.sql_over(t.spark, text, parts=t.part.select("p_partkey", "p_name"))

@@ -212,6 +212,32 @@ def window_peaks(t):
     return op.apply_to_windows(_sensor(t), ["user_id"], "ts", 48 * HOUR, _peaks, "peaks bigint, first_peak bigint")
 
 
+def _steepest(key, start, rows):
+    """The largest rise from one value to the next, and the later row's id; nothing for windows of one row."""
+    before, best = None, None
+    for event_id, value in rows:
+        if before is not None and (best is None or value - before > best[0]):
+            best = (value - before, event_id)
+        before = value
+    if best is not None:
+        yield best
+
+
+@query(
+    f"""
+    with placed as (
+        select user_id, event_id, value, epoch_us(ts) // 1000 // {48 * HOUR} * {48 * HOUR} as win_start_ms from events
+    ), risen as (
+        select *, value - lag(value) over (partition by user_id, win_start_ms order by event_id) as rise from placed
+    )
+    select user_id, win_start_ms, max(rise) as rise, arg_max(event_id, {{'r': rise, 's': -event_id}}) as event_id
+    from risen where rise is not null group by all
+    """
+)
+def window_steepest(t):
+    return op.walk_windows(_sensor(t), ["user_id"], "ts", 48 * HOUR, ["event_id"], ["event_id", "value"], _steepest, "rise double, event_id bigint")
+
+
 @query(_tumbling_sql(5 * HOUR, extra=_SUM + ", count(*) as n"))
 def et_tumbling_sum(t):
     return op.tumbling(

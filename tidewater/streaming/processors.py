@@ -230,6 +230,50 @@ class RetractCount(KeyedProcessor):
         return (n,), out
 
 
+class ChangelogAggregate(Emitting):
+    """Count, sum, least and greatest value of what a log of additions and withdrawals (``is_add``) leaves: ``aggregate_changelog`` on streams.
+
+    One row per key and micro-batch with the state after it. Values are kept with their net count in a map; only when the last of
+    the least or greatest value goes are the others looked through.
+    """
+
+    output = "n bigint, total double, low double, high double"
+
+    def __init__(self, value: str, is_add: str = "is_add"):
+        self.value, self.is_add = value, is_add
+
+    def init(self, handle):
+        self.held = handle.getMapState("held", layout("value double"), layout("net bigint"))
+        self.sums = handle.getValueState("sums", layout("n bigint, total double, low double, high double"))
+
+    def handleInputRows(self, key, rows, timerValues):
+        changes: dict[float, int] = {}
+        for r in rows:
+            value = float(r[self.value])
+            changes[value] = changes.get(value, 0) + (1 if r[self.is_add] else -1)
+        n, total, low, high = self.sums.get() if self.sums.exists() else (0, 0.0, None, None)
+        gone = False
+        for value, change in changes.items():
+            if not change:
+                continue
+            before = self.held.getValue((value,))[0] if self.held.containsKey((value,)) else 0
+            after = before + change
+            n, total = n + change, total + value * change
+            if after:
+                self.held.updateValue((value,), (after,))
+            else:
+                self.held.removeKey((value,))
+            if after > 0:
+                low, high = (value, value) if low is None else (min(low, value), max(high, value))
+            elif before > 0 and value in (low, high):
+                gone = True
+        if gone:
+            there = [k[0] for k, v in self.held.iterator() if v[0] > 0]
+            low, high = (min(there), max(there)) if there else (None, None)
+        self.sums.update((n, total, low, high))
+        yield self.emit(key, n, total, low, high)
+
+
 class RowTimer(Emitting):
     """Passes rows on and fires a timer ``after_ms`` after each, on the clock the query was given.
 
