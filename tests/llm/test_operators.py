@@ -2,6 +2,7 @@
 and extra columns with clashing names."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -203,6 +204,68 @@ def test_language_bound_and_no_labels(spark):
     assert language.train(many, rows=100).langs == ["xx"]
 
 
+def plain_language(rows, texts):
+    """Naive Bayes without batches: the posterior of every text, a dict by language."""
+    from collections import Counter
+    from math import exp, log
+
+    def counted(text):
+        (_, own), *more = language.grams([text.lower()])
+        return Counter(np.concatenate([own, *(b for _, b in more)]).tolist())
+
+    counts, prior = {}, Counter()
+    for id, text, lang in rows:
+        if id is not None and text is not None and lang is not None and zlib.crc32(str(id).encode()) % 5:
+            counts.setdefault(lang, Counter()).update(counted(text))
+            prior[lang] += 1
+    size = 1 << language.BUCKET_BITS
+    totals = {lang: Counter() for lang in counts}
+    for lang, own in counts.items():
+        for bucket, n in own.items():
+            totals[lang][bucket // size] += n
+    for text in texts:
+        joint = {
+            lang: log(prior[lang])
+            + sum(
+                n * log((own[bucket] + language.SMOOTHING) / (totals[lang][bucket // size] + language.SMOOTHING * size))
+                for bucket, n in counted(text).items()
+            )
+            for lang, own in counts.items()
+        }
+        top = max(joint.values())
+        mass = sum(exp(v - top) for v in joint.values())
+        yield {lang: exp(v - top) / mass for lang, v in joint.items()}
+
+
+@pytest.mark.parametrize("together", [400, 3])
+def test_language_against_a_plain_version(spark, monkeypatch, together):
+    monkeypatch.setattr(language, "LANGUAGES_AT_ONCE", together)
+    monkeypatch.setattr(language, "_LOOKUPS", 50 if together == 3 else 1 << 22)
+    draw = random.Random(5)
+    rows = [(k, "".join(draw.choice("aàbcdefé "[k % 8 :] + "xy") for _ in range(draw.randrange(60))), f"l{k % 8}", "s", 1) for k in range(400)]
+    docs = spark.createDataFrame([*rows, (7, None, "l1", "s", 1), (None, "abc", "l9", "s", 1)], DOCS)
+    found = {r["doc_id"]: r for r in language.identify(docs.where("text is not null and doc_id is not null"), language.train(docs)).collect()}
+    want = plain_language([r[:3] for r in rows], [r[1] for r in rows])
+    for (id, text, *_), shares in zip(rows, want, strict=True):
+        if not any(map(str.isalpha, text)):
+            assert tuple(found[id])[-2:] == ("und", 0.0)
+            continue
+        assert found[id]["score"] == pytest.approx(max(shares.values()), rel=1e-4)
+        assert shares[found[id]["lang_pred"]] == pytest.approx(max(shares.values()), rel=1e-4)
+
+
+def test_a_thousand_languages(spark):
+    """One rare letter each; the rows of a small language are learnt beside a large one."""
+    rows = [(k, f"{chr(0x4E00 + k % 1000)} abc " * 3, f"l{k % 1000:03d}", "s", 1) for k in range(4000)]
+    rows += [(10_000 + k, "abc def", "large", "s", 1) for k in range(500)]
+    model = language.train(spark.createDataFrame(rows, DOCS), rows=50)
+    learnt = {lang for k, _, lang, *_ in rows if zlib.crc32(str(k).encode()) % 5}
+    assert len(learnt) > 990 and model.langs == sorted(learnt)
+    texts = spark.createDataFrame([(k, f"abc {chr(0x4E00 + k)} {chr(0x4E00 + k)} {chr(0x4E00 + k)}", None, "s", 1) for k in range(0, 1000, 50)], DOCS)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(texts, model).collect()}
+    assert all(lang == f"l{k:03d}" for k, lang in got.items() if f"l{k:03d}" in learnt)
+
+
 def test_token_counts(spark):
     docs = documents(spark).withColumn("n_tokens", F.lit("clash"))
     first, later = token_counts.sentencepiece_vocabulary()
