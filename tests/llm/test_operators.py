@@ -82,6 +82,21 @@ def test_decontamination_in_several_passes(spark, monkeypatch):
     assert collected(got) == sorted(brute.decontamination(pairs(docs), bench), key=repr)
 
 
+def test_decontamination_by_long_items(spark, monkeypatch):
+    """Items of very many words, joined by commas, and of very long words are cut into tables of bounded size."""
+    monkeypatch.setattr(decontamination, "TABLE_WINDOWS", 700)
+    monkeypatch.setattr(decontamination, "TABLE_BYTES", 30_000)
+    long = words(3000, 8, 10**6)
+    wide = ["y" * 20_000 + str(k) for k in range(14)]
+    docs = spark.createDataFrame([(1, " ".join(long[40:60])), (2, " ".join(long[2985:])), (3, " ".join(wide)), (4, " ".join(long[:9])), (5, "a b")], "doc_id long, text string")
+    bench = [("i,1", ",".join(long)), ("i2", ";".join(wide)), ("i3", " ".join(long[45:55]))]
+    table = spark.createDataFrame(bench, "item_id string, text string")
+    sizes = [[len(t.order) for t in tables] for tables in decontamination._groups(table.withColumnRenamed("item_id", "item"))]
+    assert sum(map(sum, sizes)) == 2991 + 5 + 1 and max(map(sum, sizes)) <= 700
+    got = decontamination.mark_hits(docs, table).select("doc_id", "n_words", "n_hit", "n_items", F.sha2("item_list", 256), F.col("n_hit") > 0)
+    assert collected(got) == sorted(brute.decontamination(pairs(docs), bench), key=repr)
+
+
 def test_near_duplicates(spark):
     docs = documents(spark).withColumn("key", F.lit("clash")).withColumn("root", F.lit(0))
     assert collected(near_dedup.near_duplicates(docs, width=4)) == sorted(brute.near_duplicates(pairs(docs)), key=repr)

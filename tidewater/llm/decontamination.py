@@ -7,50 +7,54 @@ decides. Many stretches of text walk side by side in numpy.
 
 from __future__ import annotations
 
+import pickle
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.llm.common import ALNUM, Words, byte_column, chunks, combined, durable, map_batches, owners
+from tidewater.llm.common import ALNUM, CHUNK, Words, byte_column, chunks, combined, durable, map_batches, owners
 
 WINDOW = 10
 BLOCK = 3
-#: Windows of one pattern table, at about 150 bytes each: what a pass may broadcast.
+#: Windows of the tables of one pass, and their bytes: what a pass may broadcast. A window that is longer alone forms a table.
 TABLE_WINDOWS = 500_000
+TABLE_BYTES = 1 << 26
 SHIFT_BITS = 20
 #: Words of a stretch; all stretches of a chunk walk at once.
 STRETCH = 256
 
 
 class PatternTable:
-    """Wu-Manber tables for windows of one length."""
+    """Wu-Manber tables for windows of one length: pattern ``k`` is window ``k``, of the item named ``names[items[k]]``."""
 
-    def __init__(self, length: int, windows: dict[tuple[bytes, ...], set[int]]):
+    def __init__(self, length: int, windows: pa.Array, items: list[str]):
         self.length = length
         self.block = min(BLOCK, length)
         self.jump = length - self.block + 1
-        self.texts = [b" ".join(words) for words in windows]
-        self.items = list(windows.values())
-        words = sorted({w for window in windows for w in window})
-        data = np.frombuffer(b" ".join(words), np.uint8)
-        parsed = Words(data, np.array([0, len(data)]), ALNUM)
-        code = dict(zip(words, parsed.hashes.tolist()))
-        rows = np.array([[code[w] for w in window] for window in windows], np.uint64).reshape(-1, length)
-        self.shifts = np.full(1 << SHIFT_BITS, self.jump, np.int64)
+        data, self.bounds = byte_column(windows)
+        self.data = data.tobytes()
+        self.names, self.items = np.unique(np.array(items, object), return_inverse=True)
+        rows = np.concatenate([Words(data[self.bounds[a] : self.bounds[z]], self.bounds[a : z + 1] - self.bounds[a], ALNUM).hashes for a, z in chunks(self.bounds)])
+        rows = rows.reshape(-1, length)
+        self.shifts = np.full(1 << SHIFT_BITS, self.jump, np.int8)
         for end in range(self.block, length + 1):
             blocks = self._blocks(rows[:, end - self.block : end])
-            np.minimum.at(self.shifts, self._slot(blocks), length - end)
+            np.minimum.at(self.shifts, self._slot(blocks), np.int8(length - end))
         suffix = self._blocks(rows[:, length - self.block :])
         self.order = np.argsort(suffix, kind="stable")
         self.suffixes = suffix[self.order]
 
     def _blocks(self, rows: np.ndarray) -> np.ndarray:
-        return np.array([combined(r, self.block)[0] for r in rows], np.uint64)
+        return combined(rows.ravel(), self.block)[:: self.block]
+
+    def item(self, k: int) -> str:
+        return self.names[self.items[k]]
 
     @staticmethod
     def _slot(blocks: np.ndarray) -> np.ndarray:
@@ -84,20 +88,50 @@ class PatternTable:
             first = int(hits[where])
             piece = words.text(first, first + self.length)
             for k in self.order[left[where] : right[where]]:
-                if self.texts[k] == piece:
+                if self.data[self.bounds[k] : self.bounds[k + 1]] == piece:
                     yield first, int(k)
 
 
-def pattern_tables(rows: list[tuple[int, str | None]]) -> list[PatternTable]:
-    by_length: dict[int, dict[tuple[bytes, ...], set[int]]] = defaultdict(lambda: defaultdict(set))
-    for item, text in rows:
-        data = np.frombuffer((text or "").encode(), np.uint8)
-        words = Words(data, np.array([0, len(data)]), ALNUM)
-        found = [words.data[s:e].tobytes() for s, e in zip(words.starts, words.ends)]
-        length = min(WINDOW, len(found))
-        for k in range(len(found) - length + 1 if length else 0):
-            by_length[length][tuple(found[k : k + length])].add(item)
-    return [PatternTable(length, windows) for length, windows in sorted(by_length.items())]
+def _windows(batches):
+    """The windows of every item, at most 65 536 or a chunk of bytes to a batch."""
+    for batch in batches:
+        items = batch.column(0).to_pylist()
+        data, bounds = byte_column(batch.column(1))
+        for k, item in enumerate(items):
+            words = Words(data[bounds[k] : bounds[k + 1]], bounds[k : k + 2] - bounds[k], ALNUM)
+            n = len(words.starts)
+            length = min(WINDOW, n)
+            found, size = [], 0
+            for first in range(n - length + 1 if n else 0):
+                found.append(words.text(first, first + length))
+                size += len(found[-1])
+                if len(found) == 1 << 16 or size >= CHUNK:
+                    yield _window_batch(item, length, found)
+                    found, size = [], 0
+            if found:
+                yield _window_batch(item, length, found)
+
+
+def _window_batch(item: str, length: int, found: list[bytes]) -> pa.RecordBatch:
+    columns = [pa.array([item] * len(found)), pa.array([length] * len(found), pa.int32()), pa.array(found, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["item", "length", "piece"])
+
+
+def _tables(rows: pd.DataFrame) -> pd.DataFrame:
+    """Tables over the windows of a group, cut where a bound of a pass is reached."""
+    rows = rows.sort_values(["length", "piece", "item"])
+    sizes = rows["piece"].map(len).to_numpy()
+    cuts, count, size = [0], 0, 0
+    for k, n in enumerate(sizes.tolist()):
+        if count and (count == TABLE_WINDOWS or size + n > TABLE_BYTES):
+            cuts.append(k)
+            count, size = 0, 0
+        count, size = count + 1, size + n
+    out = []
+    for a, z in zip(cuts, [*cuts[1:], len(rows)]):
+        parts = rows.iloc[a:z].groupby("length")
+        out.append(pickle.dumps([PatternTable(int(n), pa.array(part["piece"], pa.large_binary()), part["item"].tolist()) for n, part in parts]))
+    return pd.DataFrame({"tables": out})
 
 
 def mark_hits(
@@ -109,8 +143,9 @@ def mark_hits(
     that are null or empty have no words. Equal rows are judged alike, row by row. Input columns with one of the added
     names are replaced. An empty benchmark hits nothing.
 
-    The benchmark is read in groups of items of at most ``TABLE_WINDOWS`` words (a larger item forms its own group); each
-    group is one pass over the documents and the only thing broadcast.
+    Items and texts of any length are read whole. Different windows of items are hashed into groups of about ``TABLE_WINDOWS``; a task
+    builds the tables of a group, cut at ``TABLE_WINDOWS`` windows or ``TABLE_BYTES``. Each cut is one pass over the documents and
+    the only thing broadcast, so a very long item takes several passes.
     """
     docs = docs.drop("n_words", "n_hit", "n_items", "item_list", "spans")
     added = (
@@ -137,17 +172,17 @@ def mark_hits(
 
 
 def _groups(benchmark: DataFrame) -> Iterator[list[PatternTable]]:
-    """Pattern tables of bounded size. Rows arrive a partition at a time and are let go once their table is built."""
-    rows, size, any_group = [], 0, False
-    for row in benchmark.where(F.col("item").isNotNull()).toLocalIterator():
-        n = len((row["text"] or "").split()) + 1
-        if rows and size + n > TABLE_WINDOWS:
-            yield pattern_tables(rows)
-            rows, size, any_group = [], 0, True
-        rows.append((row["item"], row["text"]))
-        size += n
-    if rows or not any_group:
-        yield pattern_tables(rows)
+    """Pattern tables of bounded size; the driver holds those of one pass. One pass without tables if there is no window."""
+    texts = benchmark.where(F.col("item").isNotNull()).select(F.col("item").cast("string").alias("item"), "text")
+    windows = durable(texts.mapInArrow(_windows, "item string, length int, piece binary").distinct(), "benchmark-windows")
+    total, size = windows.agg(F.count("*"), F.sum(F.length("piece"))).first()
+    groups = max(1, -(-total // TABLE_WINDOWS), -(-(size or 0) // TABLE_BYTES))
+    placed = windows.withColumn("number", F.pmod(F.xxhash64("piece", "item"), F.lit(groups)))
+    built = durable(placed.groupBy("number").applyInPandas(_tables, "tables binary"), "pattern-tables")
+    for row in built.toLocalIterator():
+        yield pickle.loads(row["tables"])
+    if not total:
+        yield []
 
 
 def _searcher(shared, text: str, first_pass: bool):
@@ -165,7 +200,7 @@ def _searcher(shared, text: str, first_pass: bool):
             for table in shared.value:
                 for first, k in table.places(words):
                     doc = int(owner[first])
-                    items[a + doc].update(map(str, table.items[k]))
+                    items[a + doc].add(table.item(k))
                     begin = first - int(words.first[doc])
                     marks[doc].append((begin, begin + table.length))
             for doc, ranges in marks.items():
