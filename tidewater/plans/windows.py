@@ -164,7 +164,9 @@ class _Low(op.Aggregator):
     columns = ["value"]
 
     def partial(self, groups):
-        return groups["value"].agg(n="size", low="min", times=lambda v: int((v == v.min()).sum()))
+        low = groups["value"].transform("min")
+        rows = groups.obj.assign(times=(groups.obj["value"] == low).astype("int64"))
+        return rows.groupby(groups.keys, dropna=False, sort=False).agg(n=("value", "size"), low=("value", "min"), times=("times", "sum"))
 
     def merge(self, groups):
         low = groups["low"].transform("min")

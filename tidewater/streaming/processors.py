@@ -23,12 +23,23 @@ MAIN, SIDE = "main", "side"
 
 
 def apply_stateful(
-    df: DataFrame, keys: list[str], processor: Emitting, mode: str = "append", time: str = "none"
+    df: DataFrame, keys: list[str], processor: Emitting, mode: str = "append", time: str = "none", seed: DataFrame | None = None
 ) -> DataFrame:
-    """Run ``processor`` per key; ``time`` is none, processingTime or eventTime."""
+    """Run ``processor`` per key; ``time`` is none, processingTime or eventTime.
+
+    ``seed`` is state to begin with, at most one row per key: the ``keys`` and the state fields of a ``KeyedProcessor``, from
+    ``snapshots.state_of`` or aggregated from a table. It is read in the first micro-batch of a new checkpoint only, which also fixes
+    the number of partitions, so this is the way to change that number.
+    """
     schema = T.StructType([*[df.schema[k] for k in keys], *layout(processor.output)])
     processor.row = Row(*schema.names)
-    return df.groupBy(*keys).transformWithState(processor, schema, mode, time)
+    if seed is None:
+        return df.groupBy(*keys).transformWithState(processor, schema, mode, time)
+    if not isinstance(processor, KeyedProcessor):
+        raise TypeError("only the state of a KeyedProcessor can be seeded")
+    held = layout(processor.state)
+    first = seed.select(*(F.col(k).cast(df.schema[k].dataType) for k in keys), *(F.col(f.name).cast(f.dataType) for f in held))
+    return df.groupBy(*keys).transformWithState(processor, schema, mode, time, first.groupBy(*keys))
 
 
 class Emitting(StatefulProcessor):
@@ -75,6 +86,9 @@ class KeyedProcessor(Emitting):
         for values in out:
             yield self.emit(key, *values)
 
+    def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
+        self.write(tuple(initialState)[-len(layout(self.state)) :])
+
     def step(self, state: tuple | None, rows: list[Row], now: Any) -> tuple[tuple | None, list[tuple]]:
         raise NotImplementedError
 
