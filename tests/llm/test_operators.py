@@ -420,6 +420,32 @@ def test_licenses_in_wrapped_and_long_lines(spark):
         assert got[k] == case[1:], case
 
 
+def test_licenses_are_named_by_the_ranking(monkeypatch):
+    short, long = licenses.TEMPLATES["Apache-2.0-short"], licenses.TEMPLATES["Apache-2.0"]
+    altered = long.replace("this file", "this work")
+    assert licenses.notices(long) == [("Apache-2.0", 0)]
+    assert licenses.notices(altered) == [("Apache-2.0", 2)]  # and not the short one, which it begins with word for word
+    assert sorted(d for _, d in licenses.notices(f"{short} Or: {altered} Or: {long}\n{short}")) == [0, 0, 0, 2]
+    gpl, lesser = licenses.TEMPLATES["GPL-3.0"], licenses.TEMPLATES["LGPL-3.0"].replace("licensed", "placed")
+    assert sorted(licenses.notices(f"{gpl} {lesser}")) == [("GPL-3.0", 0), ("LGPL-3.0", 2)]
+    for n in range(130, 180, 6):  # the end of a stretch in the second notice
+        text = f"All rights reserved. {words(n, n)} {licenses.TEMPLATES['BSD-3-Clause']} {words(200, 1)}"
+        assert sorted(licenses.notices(text)) == [("All-Rights-Reserved", 0), ("BSD-3-Clause", 0)]
+    assert licenses.notices(f"{altered}\n" * 300) == [("Apache-2.0", 2)] * 300
+
+    asked, savings = [], licenses.savings
+    monkeypatch.setattr(licenses, "savings", lambda block: asked.append(block) or savings(block))
+    for name, text in licenses.TEMPLATES.items():
+        asked.clear()
+        licenses.notices(text)
+        assert asked == [" ".join(licenses.words(text))]
+        assert savings(asked[0])[0][1].removesuffix("-short") == name.removesuffix("-short")
+    asked.clear()
+    assert licenses.notices("We got a license to drive.") == [] and asked == ["we got a license to drive"]
+    monkeypatch.setattr(licenses, "savings", lambda block: [(0, name) for name in licenses.TEMPLATES])
+    assert licenses.notices(altered) == [("Apache-2.0", 0)]
+
+
 def vectors(n, size=16, seed=11):
     draw = np.random.default_rng(seed)
     return [(k, [float(x) for x in draw.standard_normal(size).astype(np.float32)], 0) for k in range(n)]

@@ -1,9 +1,9 @@
 """License notices, found by conditional compression.
 
-Paragraphs are read as words, so that line breaks and comment signs do not matter. Notices that repeat a template word for
-word are taken first; what is left around cue words is read in overlapping stretches. A stretch is compressed by zstandard alone
-and with every template as a raw dictionary; templates are ranked by how much they save. All that could be covered are compared
-word by word, the exact differences decide, and ranks break ties.
+Paragraphs are read as words, so that line breaks and comment signs do not matter, in overlapping stretches around cue words.
+A stretch is compressed by zstandard alone and with every template as a raw dictionary, and the templates are ranked by the
+bytes they save. The first of the ranking that the stretch states, compared word by word, is its notice; the words it shares with
+the template are taken out, and what is left is compressed and ranked again until it states none.
 """
 
 from __future__ import annotations
@@ -11,9 +11,9 @@ from __future__ import annotations
 import difflib
 import functools
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from itertools import accumulate
+from itertools import accumulate, groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -58,7 +58,8 @@ def words(text: str) -> list[str]:
 
 _WANTED = {name: words(template) for name, template in TEMPLATES.items()}
 _COUNTS = {name: Counter(wanted) for name, wanted in _WANTED.items()}
-_LONGEST_FIRST = sorted(_WANTED, key=lambda name: (-len(TEMPLATES[name]), name))
+#: Longer words are in no template; the compressor sees no more of them than tells so.
+_LONGEST_WORD = max(len(w) for wanted in _WANTED.values() for w in wanted)
 #: Words of a stretch and words on either side of a cue: a notice of up to half a stretch lies whole in one.
 REACH = 3 * max(map(len, _WANTED.values()))
 STRETCH = 2 * REACH
@@ -70,18 +71,19 @@ def _compressors():
 
     plain = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
     tuned = {}
-    for name, template in TEMPLATES.items():
-        raw = zstandard.ZstdCompressionDict((template.lower() + "\n").encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    for name, wanted in _WANTED.items():
+        raw = zstandard.ZstdCompressionDict((" ".join(wanted) + " ").encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         tuned[name] = zstandard.ZstdCompressor(level=LEVEL, dict_data=raw, write_content_size=False, write_dict_id=False)
     return plain, tuned
 
 
-def savings(block: str) -> list[tuple[float, str]]:
-    """(share of the compressed size saved, template), best first; ties by name."""
+@functools.lru_cache(maxsize=1024)
+def savings(block: str) -> list[tuple[int, str]]:
+    """(bytes that the words of the template as a dictionary save, template), best first; ties by name. ``block``: joined words."""
     plain, tuned = _compressors()
-    raw = block.lower().encode("utf-8", "replace")
+    raw = block.encode()
     alone = len(plain.compress(raw))
-    return sorted(((1 - len(c.compress(raw)) / alone, name) for name, c in tuned.items()), key=lambda x: (-x[0], x[1]))
+    return sorted(((alone - len(c.compress(raw)), name) for name, c in tuned.items()), key=lambda x: (-x[0], x[1]))
 
 
 def differences(template: str, block: str) -> tuple[int, int] | None:
@@ -102,23 +104,47 @@ def _telling(found: list[str]) -> set[str]:
     return {w for w in found if w in TELLING or w[0].isdigit()}
 
 
-def _located(template: str, found: list[str], line: list[int]) -> tuple[int, int, int] | None:
-    """(words that differ, start, end) of the notice in ``found``, whose words stand in the lines ``line``; None if there is none."""
-    wanted = _WANTED[template]
-    if (_COUNTS[template] & Counter(found)).total() < COVERED * len(wanted):
-        return None
-    everything = [m for m in difflib.SequenceMatcher(None, wanted, found, autojunk=False).get_matching_blocks() if m.size]
-    near = list(everything)
-    # Words far from the others are stray ones.
-    heart = max(range(len(near)), key=lambda k: near[k].size, default=0)
-    first = last = heart
-    while first > 0 and near[first].b - near[first - 1].b - near[first - 1].size <= len(wanted) // 2:
+def _matches(wanted: list[str], found: list[str], low: int, high: int) -> list[difflib.Match]:
+    """Runs of words that ``wanted`` and ``found[low:high]`` share in order; ``b`` counts from the start of ``found``."""
+    matcher = difflib.SequenceMatcher(None, wanted, found[low:high], autojunk=False)
+    return [difflib.Match(m.a, low + m.b, m.size) for m in matcher.get_matching_blocks() if m.size]
+
+
+def _compact(matched: list[difflib.Match], reach: int) -> list[list[difflib.Match]]:
+    """The runs at most ``reach`` words from each other around the longest one, and these without outer runs of other notices."""
+    gaps = [b.b - a.b - a.size for a, b in zip(matched, matched[1:])]
+    first = last = max(range(len(matched)), key=lambda k: matched[k].size)
+    while first > 0 and gaps[first - 1] <= reach:
         first -= 1
-    while last + 1 < len(near) and near[last + 1].b - near[last].b - near[last].size <= len(wanted) // 2:
+    while last < len(gaps) and gaps[last] <= reach:
         last += 1
-    for matched in (near[first : last + 1], everything):
+    near = matched[first : last + 1]
+    # An outer run that brings more other words in between than it has.
+    while first < last and gaps[first] > matched[first].size:
+        first += 1
+    while first < last and gaps[last - 1] > matched[last].size:
+        last -= 1
+    return [near, matched[first : last + 1]]
+
+
+def _located(template: str, found: list[str], line: list[int], counts: Counter[str]) -> tuple[bool, int, list[tuple[int, int]]] | None:
+    """(scattered, words that differ, runs of words shared with the template) of the notice in ``found``; None if there is none.
+
+    The words of ``found``, which are ``counts``, stand in the lines ``line``. A scattered notice has words far from its others.
+    """
+    wanted = _WANTED[template]
+    if (_COUNTS[template] & counts).total() < COVERED * len(wanted):
+        return None
+    everything = _matches(wanted, found, 0, len(found))
+    reach = len(wanted) // 2
+    heart = max(everything, key=lambda m: m.size)
+    # The longest runs may be those of another notice, so words around the longest one are aligned by themselves, too.
+    start, spare = heart.b - heart.a, len(wanted) // 4
+    around = _matches(wanted, found, max(0, start - spare), start + len(wanted) + spare)
+    fits = []
+    for scattered, matched in [(False, m) for m in (*_compact(everything, reach), *_compact(around, reach))] + [(True, everything)]:
         covered = sum(m.size for m in matched)
-        if not covered or covered < COVERED * len(wanted):
+        if covered < COVERED * len(wanted):
             continue
         start, end = matched[0].b, matched[-1].b + matched[-1].size
         inside = found[start:end]
@@ -126,22 +152,31 @@ def _located(template: str, found: list[str], line: list[int]) -> tuple[int, int
             continue
         if line[start] != line[end - 1] and _telling(inside) != _telling(wanted):
             continue  # a number of the next line
-        return len(wanted) + len(inside) - 2 * covered, start, end
-    return None
+        fits.append((scattered, len(wanted) + len(inside) - 2 * covered, [(m.b, m.b + m.size) for m in matched]))
+    return min(fits, default=None)
 
 
-def _best(found: list[str], line: list[int]) -> tuple[int, str, int, int] | None:
-    """(words that differ, template, start, end): the fewest differences win, then the longest template, then the best saving."""
-    fits = []
-    for name in TEMPLATES:
-        located = _located(name, found, line)
-        if located:
-            fits.append((located[0], -len(TEMPLATES[name]), name, *located[1:]))
-    if not fits:
-        return None
-    ranks = {name: k for k, (_, name) in enumerate(savings(" ".join(found)))} if len(fits) > 1 else {}
-    differ, _, name, start, end = min(fits, key=lambda fit: (*fit[:2], ranks.get(fit[2], 0)))
-    return differ, name, start, end
+def _best(found: list[str], line: list[int], first: int, last: int) -> tuple[int, str, list[tuple[int, int]]] | None:
+    """(words that differ, template, runs of its words): of the templates that the stretch states, the one that saves most.
+
+    Ties go to the fewest differences, then to the longest template; scattered notices, whose words may be those of others, come
+    after all others. Three words may save nothing in a long stretch, so the whole ranking is gone through.
+    """
+    rest = None
+    stretch, lines = found[first:last], line[first:last]
+    counts = Counter(stretch)
+    for _, alike in groupby(savings(" ".join(w[: _LONGEST_WORD + 1] for w in stretch)), key=lambda x: x[0]):
+        fits = []
+        for _, name in alike:
+            if located := _located(name, stretch, lines, counts):
+                scattered, differ, shared = located
+                fits.append((scattered, differ, -len(TEMPLATES[name]), name, [(first + start, first + end) for start, end in shared]))
+        if fits:
+            scattered, differ, _, name, shared = min(fits)
+            if not scattered:
+                return differ, name, shared
+            rest = rest or (differ, name, shared)
+    return rest
 
 
 def _cues(found: list[str]) -> list[int]:
@@ -181,45 +216,48 @@ def notices(text: str) -> list[tuple[str, int]]:
 def _paragraph(found: list[str], line: list[int]) -> list[tuple[str, int]]:
     out = []
     free = [True] * len(found)
-    starts = [0, *accumulate(len(w) + 1 for w in found)]
-    joined = " ".join(found) + " "
-    for name in _LONGEST_FIRST:
-        wanted = " ".join(_WANTED[name]) + " "
-        at = joined.find(wanted)
-        while at >= 0:
-            start = bisect_right(starts, at) - 1
-            end = start + len(_WANTED[name])
-            if starts[start] == at and all(free[start:end]):
-                free[start:end] = [False] * (end - start)
-                out.append((name.removesuffix("-short"), 0))
-            at = joined.find(wanted, at + 1)
+    cues = _cues(found)
     # Once over whole runs of words, once line by line.
     for breaks in ([0] * len(found), line)[: 1 + (line[0] != line[-1])]:
-        waiting = _runs(free, breaks)
+        waiting = [(first, last) for first, last in _runs(free, breaks) if bisect_left(cues, first) < bisect_left(cues, last)]
         while waiting:
             first, last = waiting.pop()
-            taken = _first_notice(found[first:last], line[first:last])
+            taken = _first_notice(found, line, cues, first, last)
             if taken:
-                differ, name, start, end = taken
-                free[first + start : first + end] = [False] * (end - start)
+                searched, differ, name, shared = taken
                 out.append((name.removesuffix("-short"), differ))
-                waiting += [(a, z) for a, z in ((first, first + start), (first + end, last)) if a < z]
+                for start, end in shared:
+                    free[start:end] = [False] * (end - start)
+                # Stretches before this one state nothing; only its own and the words in reach of it have changed.
+                edges = [max(first, searched - STRETCH), *(k for run in shared for k in run), last]
+                waiting += [(a, z) for a, z in zip(edges[::2], edges[1::2]) if a < z]
     return out
 
 
-def _first_notice(found: list[str], line: list[int]) -> tuple[int, str, int, int] | None:
-    """The best notice of the first stretch around cues that states one."""
-    done = 0
-    for cue in _cues(found):
-        first = max(0, cue - REACH, done - REACH)
-        while first <= cue and first + STRETCH > done:
-            last = min(first + STRETCH, len(found))
-            best = _best(found[first:last], line[first:last])
+def _first_notice(found: list[str], line: list[int], cues: list[int], begin: int, stop: int) -> tuple[int, int, str, list[tuple[int, int]]] | None:
+    """(start of the stretch, words that differ, template, runs of its words) of the first stretch of ``begin`` to ``stop`` that states a license.
+
+    Stretches lie around cues in it and in reach of it.
+    """
+    done = begin
+    for k in range(bisect_left(cues, begin - REACH), len(cues)):
+        if cues[k] >= stop + REACH:
+            break
+        cue = min(max(cues[k], begin), stop - 1)
+        first = max(begin, cue - REACH, done - REACH)
+        while first <= cue:
+            last = min(first + STRETCH, stop)
+            best = _best(found, line, first, last)
+            if best and best[0]:
+                # The ends of the stretch may have cut it: read again with the notice in the middle.
+                again = max(begin, (best[2][0][0] + best[2][-1][1]) // 2 - REACH)
+                whole = _best(found, line, again, min(again + STRETCH, stop))
+                if whole:
+                    best, first = whole, min(first, again)
             if best:
-                differ, name, start, end = best
-                return differ, name, first + start, first + end
+                return first, *best
             done = last
-            if last == len(found):
+            if last == stop:
                 return None
             first += REACH
     return None
