@@ -209,8 +209,9 @@ def apply_to_windows(
 ) -> DataFrame:
     """Call ``function(key, window start in ms, rows)`` for every key and tumbling window; its frames follow the keys and the start.
 
-    All rows of one window of one key are in memory at a time: choose the width so that they fit. What combines
-    belongs into ``aggregate_with`` or an ordinary aggregate.
+    All rows of one window of one key are in memory at a time: choose the width so that they fit. Every window costs a
+    call in pandas, a few milliseconds: millions of windows belong into columns. What combines belongs into ``aggregate_with``
+    or an ordinary aggregate.
     """
     from tidewater.operators.windows import floor_to, millis
 
